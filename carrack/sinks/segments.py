@@ -1,0 +1,199 @@
+"""A replica table that is changed by appending only.
+
+Rewriting a large table for a small change is what a plain folder of parquet files
+would need.  Here a change writes the new rows and the keys they replace, and a
+numbered commit record makes both visible in one step:
+
+    rows/seg=<n>/     rows added by change n
+    gone/seg=<n>/     keys whose rows from changes before n are replaced
+    _commits/<n>.json schema, first live segment, stream positions
+
+Reading takes away replaced rows with one anti-join.  One writer at a time.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import storage
+from ..operators.sizing import broadcast_if_small
+
+SEGMENT = "__seg"
+
+
+@dataclass(frozen=True)
+class State:
+    """What one commit record says."""
+
+    version: int
+    base: int
+    schema: T.StructType
+    key: str | None
+    partition_by: tuple[str, ...]
+    derived: dict[str, str]
+    cluster_by: tuple[str, ...]
+    gone: tuple[int, ...]
+    streams: dict[str, int]
+
+    def to_json(self) -> str:
+        return json.dumps({**self.__dict__, "schema": self.schema.jsonValue()})
+
+    @classmethod
+    def from_json(cls, text: str) -> State:
+        raw = json.loads(text)
+        raw["schema"] = T.StructType.fromJson(raw["schema"])
+        for name in ("partition_by", "cluster_by", "gone"):
+            raw[name] = tuple(raw[name])
+        return cls(**raw)
+
+
+class SegmentedTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    @classmethod
+    def create(
+        cls,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        key: str | None = None,
+        partition_by: Sequence[str] | Mapping[str, str] = (),
+        cluster_by: Sequence[str] = (),
+    ) -> SegmentedTable:
+        """Drop what is at ``path`` and create an empty table.
+
+        ``partition_by`` names columns, or maps new column names to SQL expressions
+        that are computed on every append.  ``cluster_by`` orders the rows inside
+        each file, so that scans can skip row groups.
+        """
+        table = cls(spark, path)
+        table.drop()
+        derived = dict(partition_by) if isinstance(partition_by, Mapping) else {}
+        full = T.StructType(list(schema.fields))
+        if derived:
+            empty = spark.createDataFrame([], schema)
+            full = empty.select("*", *[F.expr(text).alias(name) for name, text in derived.items()]).schema
+        table._commit(State(0, 1, full, key, tuple(partition_by), derived, tuple(cluster_by), (), {}))
+        return table
+
+    def drop(self) -> None:
+        storage.delete(self.spark, self.path)
+
+    def exists(self) -> bool:
+        return storage.is_dir(self.spark, f"{self.path}/_commits")
+
+    def state(self) -> State:
+        records = [e.name for e in storage.list_dir(self.spark, f"{self.path}/_commits") if e.name.endswith(".json")]
+        return State.from_json(storage.read_text(self.spark, f"{self.path}/_commits/{max(records)}"))
+
+    def read(self) -> DataFrame:
+        """The live rows.  Replaced keys are broadcast within the measured bound."""
+        state = self.state()
+        names = [f"`{f.name}`" for f in state.schema.fields]
+        if state.version < state.base:
+            return self.spark.createDataFrame([], state.schema)
+        rows = self._segments("rows", state.schema).where(F.col(SEGMENT).between(state.base, state.version))
+        gone_in = [n for n in state.gone if n > state.base]
+        if gone_in:
+            key_field = T.StructField("__gone_key", state.schema[state.key].dataType)
+            gone = (
+                self._segments("gone", T.StructType([key_field]))
+                .where(F.col(SEGMENT).between(state.base + 1, state.version))
+                .withColumnRenamed(SEGMENT, "__gone_seg")
+            )
+            replaced = (F.col(state.key) == F.col("__gone_key")) & (F.col(SEGMENT) < F.col("__gone_seg"))
+            rows = rows.join(broadcast_if_small(gone), replaced, "left_anti")
+        return rows.select(*names)
+
+    def publish(
+        self,
+        rows: DataFrame,
+        gone: Callable[[DataFrame], DataFrame | None] | None = None,
+        stream: tuple[str, int] | None = None,
+    ) -> DataFrame:
+        """Add ``rows`` as the next segment, in one visible step; returns them as written.
+
+        ``gone`` gets the written rows and gives the keys whose older rows they
+        replace, so the source is read only once.  ``stream`` is a stream's name and
+        batch number; publishing the same batch again changes nothing.  What was
+        written is removed if anything fails before the commit.
+        """
+        state = self.state()
+        number = state.version + 1
+        rows_path, gone_path = f"{self.path}/rows/{SEGMENT}={number}", f"{self.path}/gone/{SEGMENT}={number}"
+        if stream and state.streams.get(stream[0], -1) >= stream[1]:
+            return self.spark.createDataFrame([], state.schema)
+        try:
+            self._write_rows(rows, state, rows_path)
+            written = self.spark.read.schema(state.schema).parquet(rows_path)
+            keys = gone(written) if gone else None
+            if keys is not None:
+                keys = keys.select(F.col(state.key).alias("__gone_key")).where("__gone_key IS NOT NULL")
+                keys.write.mode("overwrite").parquet(gone_path)
+            self._commit(
+                replace(
+                    state,
+                    version=number,
+                    gone=state.gone + ((number,) if keys is not None else ()),
+                    streams={**state.streams, **({stream[0]: stream[1]} if stream else {})},
+                )
+            )
+        except BaseException:
+            storage.delete(self.spark, rows_path)
+            storage.delete(self.spark, gone_path)
+            raise
+        return written
+
+    def compact(self) -> None:
+        """Write the live rows as one segment and start from it; then remove the older ones."""
+        state = self.state()
+        number = state.version + 1
+        rows_path = f"{self.path}/rows/{SEGMENT}={number}"
+        try:
+            self._write_rows(self.read(), state, rows_path)
+            self._commit(replace(state, version=number, base=number, gone=()))
+        except BaseException:
+            storage.delete(self.spark, rows_path)
+            raise
+        for kind in ("rows", "gone"):
+            for old in range(state.base, number):
+                storage.delete(self.spark, f"{self.path}/{kind}/{SEGMENT}={old}")
+        for entry in storage.list_dir(self.spark, f"{self.path}/_commits"):
+            if entry.name != _record(number):
+                storage.delete(self.spark, f"{self.path}/_commits/{entry.name}")
+
+    def _write_rows(self, rows: DataFrame, state: State, path: str) -> None:
+        given = {name for name in rows.columns}
+        columns = [
+            (F.expr(state.derived[f.name]) if f.name in state.derived and f.name not in given else F.col(f"`{f.name}`"))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in state.schema.fields
+        ]
+        rows = rows.select(*columns)
+        if state.partition_by:
+            rows = rows.hint("rebalance", *[F.col(f"`{name}`") for name in state.partition_by])
+        if state.cluster_by:
+            # The writer needs its partition columns as the leading order.
+            rows = rows.sortWithinPartitions(*[F.col(f"`{n}`") for n in (*state.partition_by, *state.cluster_by)])
+        rows.write.mode("overwrite").partitionBy(*state.partition_by).parquet(path)
+
+    def _segments(self, kind: str, schema: T.StructType) -> DataFrame:
+        extended = T.StructType([*schema.fields, T.StructField(SEGMENT, T.IntegerType())])
+        return self.spark.read.schema(extended).parquet(f"{self.path}/{kind}")
+
+    def _commit(self, state: State) -> None:
+        storage.make_dir(self.spark, f"{self.path}/_commits")
+        storage.write_text(self.spark, f"{self.path}/_commits/{_record(state.version)}", state.to_json())
+
+
+def _record(version: int) -> str:
+    return f"{version:012d}.json"
