@@ -14,8 +14,13 @@ def int_or_default(value: Column, default: int) -> Column:
 
 
 def is_blank(line: Column) -> Column:
-    """True for an empty line and for one of white space only, tabs and Unicode spaces included."""
-    return ~line.rlike(r"(?U)\S")
+    """True for an empty line and for one of white space only, tabs and Unicode spaces included.
+
+    Most lines begin with a visible ASCII character, which two byte comparisons tell;
+    only the others are searched.
+    """
+    begins_visibly = (line >= F.lit("!")) & (line < F.lit("\x7f"))
+    return ~(begins_visibly | line.rlike(r"(?U)\S"))
 
 
 def first_match(text: Column, pattern: str) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ FILES_PER_GROUP = 1024
 BROADCAST_RUNS = 2_000_000
 RUN = ["file_name", "block_start", "run"]
 
+# Lines hardly repeat, so a dictionary for them is wasted work.
+STAGING_OPTIONS = {"compression": "lz4", "parquet.enable.dictionary#line": "false"}
 STAGED_SCHEMA = T.StructType(
     [
         T.StructField("file_name", T.StringType()),
@@ -65,16 +67,7 @@ def number_lines(
     if skip_first < 0 or skip_others < 0:
         raise ValueError("the number of lines to skip must not be negative")
     staged = _stage(spark, folder, f"{staging}/lines")
-    runs = _count_runs(spark, folder, staged, skip_first, skip_others, f"{staging}/runs")
-
-    is_first = F.col("file_name") == folder.first
-    facts = runs.agg(
-        F.count(F.lit(1)).alias("n_runs"),
-        F.coalesce(F.sum("n_kept"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(is_first, F.col("n_kept"))), F.lit(0)).alias("in_first_file"),
-        F.coalesce(F.bool_or(~F.col("dense") & (F.col("n_kept") > 0)), F.lit(False)).alias("any_gaps"),
-        F.min(F.when((F.col("n_kept") > 0) & (F.col("kept_before") == 0), F.struct("file_name", "first_kept"))).alias("head"),
-    ).first()
+    runs, facts = _count_runs(spark, folder, staged, skip_first, skip_others, f"{staging}/runs")
 
     head = None
     if facts["head"] is not None:
@@ -90,7 +83,7 @@ def number_lines(
 def _stage(spark: SparkSession, folder: ShardFolder, path: str) -> DataFrame:
     scan_shards(spark, folder).select(
         "file_name", "block_start", "line_id", is_blank(F.col("line")).alias("blank"), "line"
-    ).write.parquet(path)
+    ).write.options(**STAGING_OPTIONS).parquet(path)
     return spark.read.schema(STAGED_SCHEMA).parquet(path).withColumn(
         "run", F.shiftright("line_id", RUN_BITS)
     )
@@ -98,8 +91,9 @@ def _stage(spark: SparkSession, folder: ShardFolder, path: str) -> DataFrame:
 
 def _count_runs(
     spark: SparkSession, folder: ShardFolder, staged: DataFrame, skip_first: int, skip_others: int, path: str
-) -> DataFrame:
-    """One row per run: where its lines start in the file and where its kept lines start overall."""
+) -> tuple[DataFrame, dict]:
+    """One row per run: where its lines start in the file and where its kept lines start
+    overall; and the totals, counted in the last stage of the write."""
     kept = ~F.col("blank")
     runs = staged.groupBy(*RUN).agg(
         F.min("line_id").alias("first_id"),
@@ -108,31 +102,44 @@ def _count_runs(
         F.min(F.when(kept, F.col("line_id"))).alias("first_kept"),
         F.max(F.when(kept, F.col("line_id"))).alias("last_kept"),
     )
-    in_file = Window.partitionBy("file_name").orderBy("block_start", "run")
-    runs = runs.withColumn("lines_before", F.sum("n_lines").over(in_file) - F.col("n_lines"))
-    if skip_first or skip_others:
-        skip = F.when(F.col("file_name") == folder.first, F.lit(skip_first)).otherwise(F.lit(skip_others))
-        counted = runs.withColumn("skip", skip)
-        counted.write.parquet(f"{path}-counted")
-        counted = spark.read.parquet(f"{path}-counted")
-        runs = _trim_runs(staged, counted)
-
     # The names are already on the driver, as they are in Spark's own file index.
     order = pa.table({"file_no": range(len(folder.names)), "file_name": list(folder.names)})
-    runs = runs.join(spark.createDataFrame(order), "file_name")
-    _with_kept_before(runs).withColumn(
+    in_file = Window.partitionBy("file_name").orderBy("block_start", "run")
+    runs = (
+        runs.withColumn("lines_before", F.sum("n_lines").over(in_file) - F.col("n_lines"))
+        .withColumn("skip", F.when(F.col("file_name") == folder.first, F.lit(skip_first)).otherwise(F.lit(skip_others)))
+        .join(spark.createDataFrame(order), "file_name", "left")
+        .withColumn("file_no", F.coalesce("file_no", F.raise_error(F.concat(F.lit("file was added during the merge: "), "file_name")).cast("bigint")))
+    )
+    if skip_first or skip_others:
+        seen = Observation()
+        runs.observe(seen, F.count(F.lit(1)).alias("n_runs")).write.parquet(f"{path}-counted")
+        counted = spark.read.schema(runs.schema).parquet(f"{path}-counted")
+        runs = _trim_runs(staged, counted, seen.get["n_runs"])
+    runs = _with_kept_before(runs, len(folder.names)).withColumn(
         "dense", F.col("last_kept") - F.col("first_kept") + 1 == F.col("n_kept")
+    )
+    has_kept = F.col("n_kept") > 0
+    of_first_file = F.when(F.col("file_name") == folder.first, F.col("n_kept"))
+    at_start = F.when(has_kept & (F.col("kept_before") == 0), F.struct("file_name", "first_kept"))
+    seen = Observation()
+    runs.observe(
+        seen,
+        F.count(F.lit(1)).alias("n_runs"),
+        F.coalesce(F.sum("n_kept"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(of_first_file), F.lit(0)).alias("in_first_file"),
+        F.coalesce(F.bool_or(has_kept & ~F.col("dense")), F.lit(False)).alias("any_gaps"),
+        F.min(at_start).alias("head"),
     ).write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(runs.schema).parquet(path), seen.get
 
 
-def _trim_runs(staged: DataFrame, counted: DataFrame) -> DataFrame:
+def _trim_runs(staged: DataFrame, counted: DataFrame, n_runs: int) -> DataFrame:
     """Recount the runs that reach into the lines to skip; all others stay as they are."""
     reaching = counted.where(F.col("lines_before") < F.col("skip"))
-    if reaching.count() <= BROADCAST_RUNS:
-        reaching = F.broadcast(reaching.select(*RUN, "first_id", "lines_before", "skip"))
-    else:
-        reaching = reaching.select(*RUN, "first_id", "lines_before", "skip")
+    reaching = reaching.select(*RUN, "first_id", "lines_before", "skip")
+    if n_runs <= BROADCAST_RUNS:
+        reaching = F.broadcast(reaching)
     line_no = F.col("lines_before") + F.col("line_id") - F.col("first_id")
     recounted = (
         staged.where(~F.col("blank"))
@@ -148,8 +155,8 @@ def _trim_runs(staged: DataFrame, counted: DataFrame) -> DataFrame:
     whole = F.col("lines_before") >= F.col("skip")
     return counted.join(recounted, RUN, "left").select(
         *RUN,
+        "file_no",
         "first_id",
-        "n_lines",
         "lines_before",
         F.when(whole, F.col("n_kept")).otherwise(F.coalesce("n_left", F.lit(0))).alias("n_kept"),
         F.when(whole, F.col("first_kept")).otherwise(F.col("first_left")).alias("first_kept"),
@@ -157,24 +164,23 @@ def _trim_runs(staged: DataFrame, counted: DataFrame) -> DataFrame:
     )
 
 
-def _with_kept_before(runs: DataFrame) -> DataFrame:
-    """Running totals of kept lines in three steps: inside a file, over the files of a
-    group, over the groups.  Only the last one, over one row per ``FILES_PER_GROUP``
-    files, is a window without partitions."""
-    group = F.floor(F.col("file_no") / FILES_PER_GROUP)
-    files = runs.groupBy("file_no").agg(F.sum("n_kept").alias("n_file")).withColumn("file_group", group)
-    groups = files.groupBy("file_group").agg(F.sum("n_file").alias("n_group"))
-
-    over_groups = Window.orderBy("file_group")
-    over_files = Window.partitionBy("file_group").orderBy("file_no")
-    in_file = Window.partitionBy("file_no").orderBy("block_start", "run")
-    groups = groups.select("file_group", (F.sum("n_group").over(over_groups) - F.col("n_group")).alias("before_group"))
-    files = files.join(groups, "file_group").select(
-        "file_no", (F.col("before_group") + F.sum("n_file").over(over_files) - F.col("n_file")).alias("before_file")
-    )
-    return runs.join(files, "file_no").withColumn(
-        "kept_before", F.col("before_file") + F.sum("n_kept").over(in_file) - F.col("n_kept")
-    ).drop("before_file")
+def _with_kept_before(runs: DataFrame, n_files: int) -> DataFrame:
+    """Running totals of kept lines: inside a group of files, then over the groups.
+
+    Only the second window has no partitions, and it has one row per
+    ``FILES_PER_GROUP`` files.
+    """
+    runs = runs.withColumn("file_group", F.floor(F.col("file_no") / FILES_PER_GROUP))
+    in_group = Window.partitionBy("file_group").orderBy("file_no", "block_start", "run")
+    placed = runs.withColumn("kept_before", F.sum("n_kept").over(in_group) - F.col("n_kept"))
+    if n_files > FILES_PER_GROUP:
+        over_groups = Window.orderBy("file_group")
+        groups = runs.groupBy("file_group").agg(F.sum("n_kept").alias("n_group"))
+        groups = groups.select("file_group", (F.sum("n_group").over(over_groups) - F.col("n_group")).alias("before_group"))
+        placed = placed.join(groups, "file_group").withColumn(
+            "kept_before", F.col("kept_before") + F.col("before_group")
+        )
+    return placed.select(*RUN, "first_id", "lines_before", "n_kept", "first_kept", "last_kept", "kept_before")
 
 
 def _place(staged: DataFrame, runs: DataFrame, n_runs: int, any_gaps: bool) -> DataFrame:

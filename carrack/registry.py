@@ -131,7 +131,7 @@ def statement_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ordinal_map(spark: SparkSession, folder: str) -> DataFrame:
-    destination = T._parse_datatype_string("row_id BIGINT, id BIGINT, name STRING, nation INT")
+    destination = T.StructType().add("row_id", "long").add("id", "long").add("name", "string").add("nation", "int")
     return map_by_position(parquet_table(spark, folder, "supplier"), destination, read_only=["row_id"])
 
 
@@ -148,20 +148,19 @@ def appended_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ROUTED_SQL = "SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag FROM lineitem"
-ROUTED_SCHEMA = "order_key BIGINT, line_no INT, shipped TIMESTAMP_NTZ"
+ROUTED_SCHEMA = T.StructType().add("order_key", "long").add("line_no", "int").add("shipped", "timestamp_ntz")
 
 
-def _split_load(spark: SparkSession, folder: str) -> tuple[str, load.LoadResult, T.StructType]:
+def _split_load(spark: SparkSession, folder: str) -> tuple[str, load.LoadResult]:
     """Line items by return flag, which is not among the mapped columns."""
     parquet_table(spark, folder, "lineitem").createOrReplaceTempView("lineitem")
     path = scratch_path(spark, "routed")
-    schema = T._parse_datatype_string(ROUTED_SCHEMA)
-    return path, load.load_routed(spark, ROUTED_SQL, schema, path, "l_returnflag", label="lineitem_copy"), schema
+    return path, load.load_routed(spark, ROUTED_SQL, ROUTED_SCHEMA, path, "l_returnflag", label="lineitem_copy")
 
 
 def split_load(spark: SparkSession, folder: str) -> DataFrame:
-    path, _, schema = _split_load(spark, folder)
-    return read_routed(spark, path, schema)
+    path, _ = _split_load(spark, folder)
+    return read_routed(spark, path, ROUTED_SCHEMA)
 
 
 def split_load_report(spark: SparkSession, folder: str) -> DataFrame:

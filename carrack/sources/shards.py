@@ -13,6 +13,7 @@ from .. import storage
 # Format names and the file endings that Spark decodes for them.
 CODEC_ENDINGS = {"gzip": (".gz",), "bzip": (".bz2",)}
 ENCODED_ENDINGS = (".gz", ".bz2", ".deflate", ".snappy", ".lz4", ".zst")
+NEEDS_DECODING = re.compile(r"[^A-Za-z0-9._~!$&'()*+,;=:@-]")
 MARKER_NAMES = re.compile(r"_SUCCESS|\..*\.crc")
 
 
@@ -76,21 +77,20 @@ def scan_shards(spark: SparkSession, folder: ShardFolder) -> DataFrame:
         reader = reader.option("recursiveFileLookup", True)
     lines = reader.text(folder.path)
     if folder.has_subfolders:
-        last = folder.path.rsplit("/", 1)[-1]
-        in_folder = F.element_at(F.split("_metadata.file_path", "/"), -2) == F.lit(last)
-        depth = F.size(F.split("_metadata.file_path", "/"))
-        lines = lines.where(in_folder & (depth == F.lit(_depth(spark, folder.path))))
+        parent = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+        lines = lines.where(F.regexp_replace(parent, "^([^:/]+):/+", "$1:/") == F.lit(_plain_uri(spark, folder.path)))
+    name = F.col("_metadata.file_name")
+    if any(NEEDS_DECODING.search(shard) for shard in folder.names):
+        # Spark gives the name URL-encoded; there a plus sign stands for itself.
+        name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     return lines.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        name.alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_id"),
         F.col("value").alias("line"),
     )
 
 
-def _depth(spark: SparkSession, path: str) -> int:
-    """How many '/'-separated parts the full path of a file directly in ``path`` has."""
-    fs, jpath = storage._open(spark, path)
-    qualified = fs.makeQualified(jpath).toUri().toString()
-    text = f"{qualified}/x".replace("file:/", "file:///", 1) if qualified.startswith("file:/") else f"{qualified}/x"
-    return len(text.split("/"))
+def _plain_uri(spark: SparkSession, path: str) -> str:
+    """The full, encoded name of a folder with one slash after its scheme."""
+    return re.sub("^([^:/]+):/+", r"\1:/", storage.uri(spark, path))

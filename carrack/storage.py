@@ -21,6 +21,11 @@ def _open(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def uri(spark: SparkSession, path: str) -> str:
+    fs, jpath = _open(spark, path)
+    return fs.makeQualified(jpath).toUri().toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _open(spark, path)
     return fs.exists(jpath)
