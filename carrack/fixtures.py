@@ -11,6 +11,10 @@ from .sources.tables import parquet_table
 
 SLICE = "o_orderstatus IN ('O', 'F')"
 
+PIECE_KEYS = 3_000_000
+HEAD_LINES = [(-3, "c_custkey,c_name,c_nationkey,c_mktsegment"), (-2, ""), (-1, "  \t")]
+SHARD_KINDS = [("_sys_src_AAAA", ".csv.gz", "gzip"), ("_sys_src_BBBB", ".csv.bz2", "bzip2"), ("_plain", ".csv", "none")]
+
 
 def versioned_source(spark: SparkSession, folder: str) -> DataFrame:
     """All orders with created and modified versions; every seventh has changed."""
@@ -55,21 +59,37 @@ def typed_source(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_shards(spark: SparkSession, folder: str) -> str:
-    """Customers as three text shards (gzip, bzip2, plain), each with a header, an
-    empty line and a line of white space; returns their folder."""
+    """Customers as text shards (gzip, bzip2 and plain), each with a header, an empty
+    line and a line of white space; returns their folder.
+
+    A shard takes a third of ``PIECE_KEYS`` keys, so the number of shards grows with
+    the table and every one is a small task.
+    """
     path = scratch_path(spark, "shards")
-    customer = parquet_table(spark, folder, "customer").select(
-        "c_custkey", F.concat_ws(",", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("line")
-    )
-    names = ["cust_0_sys_src_AAAA.csv.gz", "cust_1_sys_src_BBBB.csv.bz2", "cust_2_plain.csv"]
-    extra = spark.createDataFrame(
-        [(-3, "c_custkey,c_name,c_nationkey,c_mktsegment"), (-2, ""), (-1, "  \t")], customer.schema
+    customer = parquet_table(spark, folder, "customer")
+    key = F.col("c_custkey")
+    n_pieces = customer.agg(F.max(key)).first()[0] // PIECE_KEYS + 1
+    lines = customer.select(
+        F.floor(key / PIECE_KEYS).cast("int").alias("piece"),
+        key.alias("rank"),
+        F.concat_ws(",", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("line"),
     )
-    for number, (name, codec) in enumerate(zip(names, ["gzip", "bzip2", "none"])):
-        shard = customer.where(F.col("c_custkey") % 3 == number).union(extra)
-        part = f"{path}/_build_{number}"
-        shard.coalesce(1).sortWithinPartitions("c_custkey").select("line").write.option("compression", codec).text(part)
-        [written] = [e.name for e in storage.list_dir(spark, part) if e.name.startswith("part-")]
-        storage.rename(spark, f"{part}/{written}", f"{path}/{name}")
-        storage.delete(spark, part)
+    heads = [F.struct(F.lit(rank).cast("bigint").alias("rank"), F.lit(line).alias("line")) for rank, line in HEAD_LINES]
+    head = spark.range(n_pieces).select(F.col("id").cast("int").alias("piece"), F.inline(F.array(*heads)))
+    for number, (tag, ending, codec) in enumerate(SHARD_KINDS):
+        build = f"{path}/_build_{number}"
+        (
+            lines.where(F.col("rank") % 3 == number)
+            .union(head)
+            .repartitionById(n_pieces, F.col("piece"))
+            .sortWithinPartitions("rank")
+            .select("line")
+            .write.option("compression", codec)
+            .option("maxRecordsPerFile", 0)
+            .text(build)
+        )
+        parts = [e.name for e in storage.list_dir(spark, build) if e.name.startswith("part-")]
+        for piece, part in enumerate(parts):
+            storage.rename(spark, f"{build}/{part}", f"{path}/cust_{number}_{piece:03d}{tag}{ending}")
+        storage.delete(spark, build)
     return path

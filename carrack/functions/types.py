@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,9 +47,7 @@ class TypePlan:
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Project ``df``.  Decimals round half away from zero; one that no longer fits raises."""
-        return df.select(
-            *[F.col(_quoted(f.name)).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        )
+        return df.select(*[_converted(df, f).alias(f.name) for f in self.schema.fields])
 
 
 def plan_types(schema: T.StructType, strict: bool = False, datetime_as_date: bool = False) -> TypePlan:
@@ -67,5 +65,14 @@ def typed_projection(df: DataFrame, strict: bool = False, datetime_as_date: bool
     return plan_types(df.schema, strict, datetime_as_date).apply(df)
 
 
+def _converted(df: DataFrame, field: T.StructField) -> Column:
+    value = F.col(_quoted(field.name))
+    if isinstance(field.dataType, T.DecimalType) and df.schema[field.name].dataType != field.dataType:
+        # The same with and without ANSI mode: an overflow is never a NULL.
+        too_large = F.raise_error(F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "), value))
+        return F.coalesce(value.try_cast(field.dataType), F.when(value.isNotNull(), too_large).cast(field.dataType))
+    return value.cast(field.dataType)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

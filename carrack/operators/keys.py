@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .sizing import BROADCAST_BYTES, broadcast_if_small, measured_bytes
-
-# Types whose extremes survive the way over the driver exactly.
-RANGE_TYPES = (T.IntegralType, T.DateType, T.StringType, T.DecimalType)
+from .sizing import broadcast_if_small, cut_to_keys, key_span
 
 
 def delete_by_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -30,14 +26,11 @@ def missing_rows(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     large target moves no target rows between executors.
     """
     keys = batch.select(key).where(F.col(key).isNotNull())
-    present = target.select(key)
-    if isinstance(batch.schema[key].dataType, RANGE_TYPES):
-        low, high = keys.agg(F.min(key), F.max(key)).first()
-        if low is None:
-            return batch
-        present = present.where(F.col(key).between(F.lit(low), F.lit(high)))
-    if measured_bytes(keys) <= BROADCAST_BYTES:
-        present = present.join(F.broadcast(keys), key, "left_semi")
+    span = key_span(keys)
+    present = cut_to_keys(target.select(key), keys, key, span)
+    if span.small:
+        # Not more distinct keys than the batch has, so they are within the bound too.
+        present = F.broadcast(present.distinct())
     return batch.join(present, key, "left_anti")
 
 

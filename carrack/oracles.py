@@ -32,23 +32,27 @@ SELECT l_orderkey AS "OrderKey", CAST(l_linenumber AS BIGINT) AS "LineNo",
 
 _SHARDS = """
 WITH line AS (
-  SELECT c_custkey AS k, CAST(c_custkey % 3 AS INTEGER) AS shard,
+  SELECT c_custkey AS k, CAST(c_custkey % 3 AS INTEGER) AS shard, c_custkey // 3000000 AS piece,
          c_custkey || ',' || c_name || ',' || c_nationkey || ',' || c_mktsegment AS line
   FROM customer
   UNION ALL
-  SELECT k, shard, line
-  FROM (VALUES (-3, 'c_custkey,c_name,c_nationkey,c_mktsegment'), (-2, ''), (-1, '  ' || chr(9))) AS extra(k, line),
-       (VALUES (0), (1), (2)) AS shards(shard)),
+  SELECT k, shard, piece, line
+  FROM (VALUES (-3, 'c_custkey,c_name,c_nationkey,c_mktsegment'), (-2, ''), (-1, '  ' || chr(9))) AS head(k, line),
+       (VALUES (0), (1), (2)) AS shards(shard),
+       (SELECT unnest(range(0, (SELECT max(c_custkey) // 3000000 + 1 FROM customer))) AS piece) AS pieces),
 physical AS (
-  SELECT shard, line, k,
-         CASE shard WHEN 0 THEN 'cust_0_sys_src_AAAA.csv.gz'
-                    WHEN 1 THEN 'cust_1_sys_src_BBBB.csv.bz2'
-                    ELSE 'cust_2_plain.csv' END AS file_name,
+  SELECT shard, piece, line, k,
+         'cust_' || shard || '_' || lpad(CAST(piece AS VARCHAR), 3, '0') ||
+         CASE shard WHEN 0 THEN '_sys_src_AAAA.csv.gz'
+                    WHEN 1 THEN '_sys_src_BBBB.csv.bz2'
+                    ELSE '_plain.csv' END AS file_name,
          CASE shard WHEN 0 THEN 'AAAA' WHEN 1 THEN 'BBBB' ELSE '' END AS tag,
-         row_number() OVER (PARTITION BY shard ORDER BY k) - 1 AS line_no
+         row_number() OVER (PARTITION BY shard, piece ORDER BY k) - 1 AS line_no
   FROM line),
 filled AS (
-  SELECT *, row_number() OVER (ORDER BY shard, k) - 1 AS n FROM physical WHERE k >= 0)
+  SELECT *, row_number() OVER (ORDER BY shard, piece, k) - 1 AS n FROM physical WHERE k >= 0),
+header AS (
+  SELECT * FROM physical WHERE shard = 0 AND piece = 0 AND line_no = 0)
 """
 
 _PRICES = "SELECT l_orderkey AS order_key, l_linenumber AS line_no, l_shipdate AS shipped FROM lineitem"
@@ -116,17 +120,17 @@ FROM lineitem GROUP BY l_returnflag""",
     "shard_skip": _SHARDS
     + """
 SELECT file_name, line_no, line FROM physical
-WHERE k >= 0 OR (shard = 0 AND line_no = 0)""",
+WHERE k >= 0 OR (shard = 0 AND piece = 0 AND line_no = 0)""",
     "filename_field": _SHARDS
     + """
-SELECT 0 AS position, 'SourceSystem,' || line AS line FROM physical WHERE shard = 0 AND line_no = 0
+SELECT 0 AS position, 'SourceSystem,' || line AS line FROM header
 UNION ALL SELECT n + 1, tag || ',' || line FROM filled""",
     "round_robin_split": _SHARDS
     + "SELECT CAST(n % 4 + 1 AS INTEGER) AS output, CAST(n // 4 AS BIGINT) AS position, line FROM filled",
     "shard_outputs": _SHARDS
     + """
 SELECT 'merged_' || output || '.csv' AS file_name, 0 AS line_no, 'SourceSystem,' || line AS line
-FROM physical, (VALUES (1), (2), (3), (4)) AS outputs(output) WHERE shard = 0 AND line_no = 0
+FROM header, (VALUES (1), (2), (3), (4)) AS outputs(output)
 UNION ALL
 SELECT 'merged_' || (n % 4 + 1) || '.csv', CAST(n // 4 + 1 AS BIGINT), tag || ',' || line FROM filled""",
     "encrypt_roundtrip": "SELECT c_custkey, c_name FROM customer",

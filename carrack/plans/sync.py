@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.predicates import Predicate
+from ..functions.predicates import Predicate, restrict
 from ..functions.types import plan_types
 from ..operators.keys import delete_by_keys
 from ..operators.versions import TARGET_DEFAULT, Watermark, changed_keys, delta_rows, watermark
@@ -36,6 +36,13 @@ class SyncRule:
         if self.on_conflict not in ("append", "replace"):
             raise ValueError("on_conflict must be 'append' or 'replace'")
 
+    @property
+    def name(self) -> str | None:
+        """What its versions and slice are known by; a slice that is no text has no name."""
+        if self.where is not None and not isinstance(self.where, str):
+            return None
+        return f"{self.created}, {self.modified}: {(self.where or '').strip()}"
+
 
 @dataclass(frozen=True)
 class SyncResult:
@@ -52,6 +59,27 @@ def target_mark(target: DataFrame, rule: SyncRule) -> Watermark:
     return watermark(target, rule.created, rule.modified, rule.where, TARGET_DEFAULT)
 
 
+def replica_mark(replica: SegmentedTable, rule: SyncRule) -> Watermark:
+    """The watermark of a replica, in most cases without scanning all of it.
+
+    The highest versions are not below those of an earlier sync unless rows have been
+    replaced by older ones.  So the rows at or above the earlier mark are looked at
+    first, which prunes all older files by their statistics; if there are none, the
+    whole slice is scanned.
+    """
+    earlier = replica.state().marks.get(rule.name) if rule.name else None
+    if earlier:
+        created, modified = F.col(rule.created), F.col(rule.modified)
+        near = restrict(replica.read(), rule.where).where((created >= earlier[0]) | (modified >= earlier[1]))
+        top = near.agg(
+            F.max(F.when(created >= earlier[0], created)).try_cast("bigint"),
+            F.max(F.when(modified >= earlier[1], modified)).try_cast("bigint"),
+        ).first()
+        if None not in tuple(top):
+            return Watermark(*top)
+    return target_mark(replica.read(), rule)
+
+
 def new_rows(source: DataFrame, mark: Watermark, rule: SyncRule) -> DataFrame:
     """The delta in target types."""
     plan = plan_types(source.schema, rule.strict, rule.datetime_as_date)
@@ -130,8 +158,11 @@ def sync_replica(
     the replaced keys are read from the delta as it was written.
     """
     started = time.monotonic()
-    mark = target_mark(replica.read(), rule)
+    mark = replica_mark(replica, rule)
     written = replica.publish(
-        new_rows(source, mark, rule), lambda rows: replaced_keys(rows, mark, rule), stream
+        new_rows(source, mark, rule),
+        lambda rows: replaced_keys(rows, mark, rule),
+        stream,
+        {rule.name: mark} if rule.name else None,
     )
     return SyncResult(mark, written.count(), time.monotonic() - started)

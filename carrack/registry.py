@@ -131,7 +131,7 @@ def statement_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ordinal_map(spark: SparkSession, folder: str) -> DataFrame:
-    destination = T.StructType().add("row_id", "long").add("id", "long").add("name", "string").add("nation", "int")
+    destination = T.StructType().add("row_id", "long").add("id", "long").add("name", "string").add("nation", "integer")
     return map_by_position(parquet_table(spark, folder, "supplier"), destination, read_only=["row_id"])
 
 
@@ -148,7 +148,7 @@ def appended_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ROUTED_SQL = "SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag FROM lineitem"
-ROUTED_SCHEMA = T.StructType().add("order_key", "long").add("line_no", "int").add("shipped", "timestamp_ntz")
+ROUTED_SCHEMA = T.StructType().add("order_key", "long").add("line_no", "integer").add("shipped", "timestamp_ntz")
 
 
 def _split_load(spark: SparkSession, folder: str) -> tuple[str, load.LoadResult]:
@@ -211,7 +211,7 @@ def stream_sync(spark: SparkSession, folder: str) -> DataFrame:
     replica = sync.create_replica(spark, scratch_path(spark, "events"), events)
     source = _stream_files(spark, events, "event_id")
     for run in ("first", "again"):
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(source)
         replicate_stream(stream, replica, "event_id", scratch_path(spark, f"checkpoint-{run}")).awaitTermination()
     return replica.read()
 
@@ -222,7 +222,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     replica = sync.create_replica(spark, scratch_path(spark, "orders"), changes, RULE)
     replica.publish(fixtures.versioned_target(spark, folder))
     source = _stream_files(spark, changes, "o_orderkey")
-    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 4).parquet(source)
     checkpoint = scratch_path(spark, "checkpoint-upsert")
     replicate_stream(stream, replica, "o_orderkey", checkpoint, "upsert", "mv").awaitTermination()
     return replica.read()

@@ -6,7 +6,7 @@ numbered commit record makes both visible in one step:
 
     rows/seg=<n>/     rows added by change n
     gone/seg=<n>/     keys whose rows from changes before n are replaced
-    _commits/<n>.json schema, first live segment, stream positions
+    _commits/<n>.json schema, first live segment, stream positions, version marks
 
 Reading takes away replaced rows with one anti-join.  One writer at a time.
 """
@@ -40,6 +40,7 @@ class State:
     cluster_by: tuple[str, ...]
     gone: tuple[int, ...]
     streams: dict[str, int]
+    marks: dict[str, list[int]]
 
     def to_json(self) -> str:
         return json.dumps({**self.__dict__, "schema": self.schema.jsonValue()})
@@ -81,7 +82,7 @@ class SegmentedTable:
         if derived:
             empty = spark.createDataFrame([], schema)
             full = empty.select("*", *[F.expr(text).alias(name) for name, text in derived.items()]).schema
-        table._commit(State(0, 1, full, key, tuple(partition_by), derived, tuple(cluster_by), (), {}))
+        table._commit(State(0, 1, full, key, tuple(partition_by), derived, tuple(cluster_by), (), {}, {}))
         return table
 
     def drop(self) -> None:
@@ -118,13 +119,15 @@ class SegmentedTable:
         rows: DataFrame,
         gone: Callable[[DataFrame], DataFrame | None] | None = None,
         stream: tuple[str, int] | None = None,
+        marks: Mapping[str, Sequence[int]] | None = None,
     ) -> DataFrame:
         """Add ``rows`` as the next segment, in one visible step; returns them as written.
 
         ``gone`` gets the written rows and gives the keys whose older rows they
         replace, so the source is read only once.  ``stream`` is a stream's name and
-        batch number; publishing the same batch again changes nothing.  What was
-        written is removed if anything fails before the commit.
+        batch number; publishing the same batch again changes nothing.  ``marks`` are
+        kept in the commit record for the next change to look up.  What was written
+        is removed if anything fails before the commit.
         """
         state = self.state()
         number = state.version + 1
@@ -144,6 +147,7 @@ class SegmentedTable:
                     version=number,
                     gone=state.gone + ((number,) if keys is not None else ()),
                     streams={**state.streams, **({stream[0]: stream[1]} if stream else {})},
+                    marks={**state.marks, **{name: list(mark) for name, mark in (marks or {}).items()}},
                 )
             )
         except BaseException:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.keys import missing_rows
-from ..operators.sizing import BROADCAST_BYTES, measured_bytes
+from ..operators.sizing import cut_to_keys, key_span
 from ..sinks.segments import SegmentedTable
 
 MODES = ("insert_missing", "upsert")
@@ -68,11 +68,12 @@ def newer_rows(batch: DataFrame, target: DataFrame, key: str, modified: str) ->
         .agg(F.max_by(F.struct(*batch.columns), F.coalesce(modified, F.lit(-1))).alias("row"))
         .select("row.*")
     )
-    keys = keyed.select(key).distinct()
-    present = target.select(key, modified)
-    if measured_bytes(keys) <= BROADCAST_BYTES:
-        present = present.join(F.broadcast(keys), key, "left_semi")
+    keys = keyed.select(key)
+    span = key_span(keys)
+    present = cut_to_keys(target.select(key, modified), keys, key, span)
     present = present.groupBy(key).agg(F.coalesce(F.max(modified), F.lit(-1)).alias("__there"))
+    if span.small:
+        present = F.broadcast(present)
     newer = (
         latest.join(present, key, "left")
         .where(F.col("__there").isNull() | (F.coalesce(modified, F.lit(-1)) > F.col("__there")))

@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 from carrack import fixtures, storage
 from carrack.functions import cipher, scalars
 from carrack.functions.types import plan_types, target_type, typed_projection
-from carrack.operators import keys
+from carrack.operators import keys, sizing
 from carrack.operators.versions import Watermark, changed_keys, delta_rows, watermark
-from carrack.plans.sync import SyncRule, create_replica, sync_dataset, sync_replica, sync_summary, target_mark
+from carrack.plans.sync import SyncRule, create_replica, replica_mark, sync_dataset, sync_replica, sync_summary, target_mark
 from carrack.session import scratch_path
 from carrack.sinks.segments import SegmentedTable
 from carrack.streaming.replicate import replicate_stream
@@ -132,10 +132,10 @@ def test_delete_by_keys_with_and_without_broadcast(spark, monkeypatch):
     assert rows(keys.delete_by_keys(target, gone, "k")) == want
 
 
-@pytest.mark.parametrize("limit", [keys.BROADCAST_BYTES, -1])
+@pytest.mark.parametrize("limit", [sizing.BROADCAST_BYTES, -1])
 @pytest.mark.parametrize("kind", ["BIGINT", "STRING", "DOUBLE"])
 def test_insert_missing(spark, monkeypatch, limit, kind):
-    monkeypatch.setattr(keys, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
     cast = F.col("k").cast(kind)
     target = frame(spark, (1, "a", 1, 1), (5, "e", 1, 1)).withColumn("k", cast)
     batch = frame(spark, (1, "x", 2, 2), (3, "c", 2, 2), (None, "n", 2, 2), (3, "c2", 2, 2)).withColumn("k", cast)
@@ -210,6 +210,22 @@ def test_compact_keeps_the_rows(spark):
     assert not replica.exists()
 
 
+def test_mark_of_a_replica_prunes_and_stays_exact(spark):
+    rule = SyncRule("cv", "mv", "k", "v <> 'x'")
+    source = frame(spark, (1, "a", 4, 4), (2, "x", 9, 9), (3, "c", 2, 2))
+    replica = create_replica(spark, scratch_path(spark, "test"), source, rule)
+    sync_replica(replica, source, rule)
+    sync_replica(replica, frame(spark, (4, "d", 5, 5)), rule)
+    assert replica.state().marks[rule.name] == [4, 4]
+    assert replica_mark(replica, rule) == target_mark(replica.read(), rule) == (5, 5)
+    replica.publish(frame(spark, (1, "x", 0, 0), (4, "x", 0, 0)), lambda rows: rows.select("k"))
+    assert replica_mark(replica, rule) == target_mark(replica.read(), rule) == (2, 2)
+    by_column = SyncRule("cv", "mv", "k", F.col("v") != "x")
+    assert by_column.name is None and replica_mark(replica, by_column) == (2, 2)
+    sync_replica(replica, frame(spark, (7, "g", 3, None)), by_column)
+    assert replica.read().where("k = 7").count() == 1
+
+
 def test_failed_publish_changes_nothing(spark):
     source = frame(spark, (1, "a", 1, 1))
     replica = replica_of(spark, source, source)
@@ -258,7 +274,9 @@ def test_the_same_batch_number_is_applied_once(spark):
     assert replica.read().count() == 1
 
 
-def test_stream_upsert_in_any_order(spark):
+@pytest.mark.parametrize("limit", [sizing.BROADCAST_BYTES, -1])
+def test_stream_upsert_in_any_order(spark, monkeypatch, limit):
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
     target = frame(spark, (1, "old", 1, 5), (2, "b", 1, 1), (3, "n", 1, None))
     batches = [
         frame(spark, (1, "late", 1, 9), (2, "b", 1, 1)),
