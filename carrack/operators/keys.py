@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import broadcast_if_small, cut_to_keys, key_span
+from . import sizing
+from .sizing import cut_to_keys, key_span, settled
 
 
 def delete_by_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """``target`` without the rows whose key is in ``keys``; a NULL key always stays.
 
-    A key set within the broadcast bound is broadcast, so the target is not shuffled.
+    The keys are worked out once and written to the shared folder.  A key set within
+    the broadcast bound is then broadcast, so the target is not shuffled.
     """
-    keys = keys.select(key).where(F.col(key).isNotNull())
-    return target.join(broadcast_if_small(keys), key, "left_anti")
+    keys, n_bytes = settled(keys.select(key).where(F.col(key).isNotNull()))
+    return target.join(F.broadcast(keys) if n_bytes <= sizing.BROADCAST_BYTES else keys, key, "left_anti")
 
 
 def missing_rows(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -6,10 +6,12 @@ from functools import reduce
 from operator import add
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_OVERHEAD = 32
 
@@ -40,6 +42,17 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(_bytes_of(df).alias("n_bytes")).first()["n_bytes"]
 
 
+def settled(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder, and its size, measured while writing.
+
+    For a small result of a long scan: it is computed once, and a broadcast of it
+    does not have to wait for the scan.
+    """
+    path, seen = scratch_path(df.sparkSession, "settled"), Observation()
+    df.observe(seen, _bytes_of(df).alias("n_bytes")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n_bytes"]
+
+
 def key_span(keys: DataFrame) -> KeySpan:
     """Measure a frame of one column in one aggregation."""
     [field] = keys.schema.fields

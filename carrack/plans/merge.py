@@ -87,9 +87,10 @@ def merge_shards(
 ) -> MergeResult:
     """Merge the shards of ``folder`` into ``output`` (see :func:`output_paths` for the names).
 
-    ``layout="files"`` makes every output one file, which by its nature one task
-    writes; ``layout="parts"`` makes every output a folder of ordered part files
-    written by as many tasks as the line count calls for.
+    ``layout="parts"`` makes every output a folder of ordered part files, written by
+    as many tasks as the line count calls for.  ``layout="files"`` makes every output
+    one file: on a store that joins files (HDFS) from such parts, elsewhere written by
+    one task per output, as nothing else can give one file there.
     """
     if layout not in ("files", "parts"):
         raise ValueError("layout must be 'files' or 'parts'")
@@ -102,7 +103,7 @@ def merge_shards(
     try:
         numbered = number_lines(spark, shards, staging, skip_first, skip_others)
         merged = deal_lines(spark, numbered, n_outputs, field, has_header)
-        if layout == "files":
+        if layout == "files" and not storage.can_concat(spark, staging):
             ordered = distribution.in_one_task_per_output(merged.lines, n_outputs)
         else:
             longest = distribution.lines_per_output(merged.n_data_lines, n_outputs) + 1

@@ -27,7 +27,7 @@ def write_outputs(
 
     The text goes to ``staging`` first; only then are the outputs that exist replaced,
     by moving names.  With ``as_folders`` an output is a folder of ordered part files,
-    else it is one file.  An output without lines is an empty file or folder.
+    else it is one file, which the store has to join if there are several parts.  An output without lines is an empty file or folder.
     """
     (
         lines.select("output", "line")
@@ -51,8 +51,9 @@ def write_outputs(
                 storage.make_dir(spark, path)
         elif not parts:
             storage.touch(spark, path)
-        elif len(parts) == 1:
-            storage.make_dir(spark, posixpath.dirname(path) or ".")
-            storage.rename(spark, f"{written}/{parts[0]}", path)
         else:
-            raise RuntimeError(f"{written} has {len(parts)} parts where one was expected")
+            first, *others = [f"{written}/{part}" for part in parts]
+            if others:
+                storage.concat(spark, first, others)
+            storage.make_dir(spark, posixpath.dirname(path) or ".")
+            storage.rename(spark, first, path)

@@ -65,6 +65,21 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def can_concat(spark: SparkSession, path: str) -> bool:
+    """Whether the store joins files by their records only, as HDFS does, without copying data."""
+    fs, jpath = _open(spark, path)
+    return fs.hasPathCapability(jpath, "fs.capability.paths.concat")
+
+
+def concat(spark: SparkSession, first: str, others: list[str]) -> None:
+    """Append ``others`` to ``first`` in the store; they are gone afterwards."""
+    fs, jfirst = _open(spark, first)
+    array = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(others))
+    for number, path in enumerate(others):
+        array[number] = _open(spark, path)[1]
+    fs.concat(jfirst, array)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file, replacing what is there."""
     fs, jpath = _open(spark, path)

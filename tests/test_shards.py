@@ -10,6 +10,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from carrack import fixtures, storage
 from carrack.operators import numbering
 from carrack.operators.numbering import number_lines
 from carrack.plans.merge import merge_shards
@@ -136,6 +137,35 @@ def test_parts_hold_the_same_lines_in_order(spark, tmp_path):
     assert merged == expected(shards, 0, 1, 2)
 
 
+def test_files_are_joined_where_the_store_can(spark, tmp_path, monkeypatch):
+    def join(spark, first, others):
+        with open(first.removeprefix("file:"), "ab") as target:
+            for other in others:
+                target.write(open(other.removeprefix("file:"), "rb").read())
+
+    monkeypatch.setattr(storage, "can_concat", lambda spark, path: True)
+    monkeypatch.setattr(storage, "concat", join)
+    shards = {f"{c}.txt": "h\n" + "".join(f"{c}{i}\n" for i in range(50)) for c in "abc"}
+    folder = write(tmp_path / "in", shards)
+    result = merge_shards(spark, folder, str(tmp_path / "m.csv"), 0, 1, n_outputs=2, rows_per_part=10)
+    assert read(result.paths) == expected(shards, 0, 1, 2)
+
+
+def test_all_shards_empty(spark, tmp_path):
+    folder = write(tmp_path / "in", {"a.txt": "", "b.txt": ""})
+    result = merge_shards(spark, folder, str(tmp_path / "m.csv"), 1, 1, n_outputs=2)
+    assert read(result.paths) == [[], []] and result.n_data_lines == 0
+
+
+def test_shards_of_the_fixture_grow_in_number(spark, small, monkeypatch):
+    monkeypatch.setattr(fixtures, "PIECE_KEYS", 40)
+    shards = list_shards(spark, fixtures.text_shards(spark, small))
+    assert len(shards.names) == 12
+    numbered = number_lines(spark, shards, scratch_path(spark, "t"), 0, 1)
+    keys = [int(r.line.split(",")[0]) for r in numbered.lines.where("ordinal > 0").orderBy("ordinal").collect()]
+    assert keys == [k for third in range(3) for k in range(third, 150, 3)]
+
+
 def test_many_splits_and_bounded_runs(spark, tmp_path, monkeypatch):
     """Blocks of a few hundred bytes, runs of 16 lines, blank lines all over, groups of two files."""
     monkeypatch.setattr(numbering, "RUN_BITS", 4)
