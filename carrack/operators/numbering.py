@@ -1,9 +1,9 @@
 """Line numbers and global ordinals for text shards, without a global sort.
 
 The lines are written out once with a ``line_id`` that grows in line order inside a
-block.  After that two small tables of counts, one row per run of at most
-``RUN_LINES`` lines, are enough to turn a ``line_id`` into the line number in its
-file and into the ordinal over all files.  Text is never shuffled for numbering,
+block.  After that a small table of counts, one row per run of at most ``RUN_LINES``
+lines, is enough to turn a ``line_id`` into the line number in its file and into the
+ordinal over all files.  Text is never shuffled for numbering,
 except for runs that have a blank line in their middle, and then in groups of at
 most ``RUN_LINES`` lines.
 """
@@ -105,17 +105,44 @@ def _count_runs(
     # The names are already on the driver, as they are in Spark's own file index.
     order = pa.table({"file_no": range(len(folder.names)), "file_name": list(folder.names)})
     in_file = Window.partitionBy("file_name").orderBy("block_start", "run")
-    runs = (
-        runs.withColumn("lines_before", F.sum("n_lines").over(in_file) - F.col("n_lines"))
-        .withColumn("skip", F.when(F.col("file_name") == folder.first, F.lit(skip_first)).otherwise(F.lit(skip_others)))
-        .join(spark.createDataFrame(order), "file_name", "left")
-        .withColumn("file_no", F.coalesce("file_no", F.raise_error(F.concat(F.lit("file was added during the merge: "), "file_name")).cast("bigint")))
+    unlisted = F.raise_error(F.concat(F.lit("file was added during the merge: "), "file_name")).cast("bigint")
+    runs = runs.join(spark.createDataFrame(order), "file_name", "left").withColumns(
+        {
+            "file_no": F.coalesce("file_no", unlisted),
+            "lines_before": F.sum("n_lines").over(in_file) - F.col("n_lines"),
+            "skip": F.when(F.col("file_name") == folder.first, F.lit(skip_first)).otherwise(F.lit(skip_others)),
+        }
     )
-    if skip_first or skip_others:
-        seen = Observation()
-        runs.observe(seen, F.count(F.lit(1)).alias("n_runs")).write.parquet(f"{path}-counted")
-        counted = spark.read.schema(runs.schema).parquet(f"{path}-counted")
-        runs = _trim_runs(staged, counted, seen.get["n_runs"])
+    table, facts = _write_runs(_skip(runs), folder, path)
+    if facts["unsettled"]:
+        table, facts = _write_runs(_recount(staged, table, facts["n_runs"]), folder, f"{path}-recounted")
+    return table, facts
+
+
+def _skip(runs: DataFrame) -> DataFrame:
+    """Take the lines to skip out of the counts, by arithmetic.
+
+    That is exact for a run that the skipping does not reach, and for one without
+    blank lines between its kept ones.  Others are ``unsettled`` and keep their counts.
+    """
+    boundary = F.col("first_id") + F.col("skip") - F.col("lines_before")
+    reached = (F.col("n_kept") > 0) & (F.col("first_kept") < boundary)
+    has_gaps = F.col("last_kept") - F.col("first_kept") + 1 > F.col("n_kept")
+    survives = F.col("last_kept") >= boundary
+    runs = runs.withColumns({"boundary": boundary, "unsettled": reached & has_gaps & survives})
+    cut = F.col("first_kept") < F.col("boundary")
+    return runs.withColumns(
+        {
+            "n_kept": F.when(F.col("unsettled") | ~reached, F.col("n_kept"))
+            .when(survives, F.col("last_kept") - F.col("boundary") + 1)
+            .otherwise(0),
+            "first_kept": F.when(F.col("unsettled") | ~cut, F.col("first_kept")).when(survives, F.col("boundary")),
+            "last_kept": F.when(F.col("unsettled") | ~cut | survives, F.col("last_kept")),
+        }
+    )
+
+
+def _write_runs(runs: DataFrame, folder: ShardFolder, path: str) -> tuple[DataFrame, dict]:
     runs = _with_kept_before(runs, len(folder.names)).withColumn(
         "dense", F.col("last_kept") - F.col("first_kept") + 1 == F.col("n_kept")
     )
@@ -129,38 +156,33 @@ def _count_runs(
         F.coalesce(F.sum("n_kept"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(of_first_file), F.lit(0)).alias("in_first_file"),
         F.coalesce(F.bool_or(has_kept & ~F.col("dense")), F.lit(False)).alias("any_gaps"),
+        F.coalesce(F.bool_or("unsettled"), F.lit(False)).alias("unsettled"),
         F.min(at_start).alias("head"),
     ).write.parquet(path)
-    return spark.read.schema(runs.schema).parquet(path), seen.get
+    return _table(runs, path), seen.get
 
 
-def _trim_runs(staged: DataFrame, counted: DataFrame, n_runs: int) -> DataFrame:
-    """Recount the runs that reach into the lines to skip; all others stay as they are."""
-    reaching = counted.where(F.col("lines_before") < F.col("skip"))
-    reaching = reaching.select(*RUN, "first_id", "lines_before", "skip")
-    if n_runs <= BROADCAST_RUNS:
-        reaching = F.broadcast(reaching)
-    line_no = F.col("lines_before") + F.col("line_id") - F.col("first_id")
+def _table(like: DataFrame, path: str) -> DataFrame:
+    return like.sparkSession.read.schema(like.schema).parquet(path)
+
+
+def _recount(staged: DataFrame, runs: DataFrame, n_runs: int) -> DataFrame:
+    """Count the kept lines of the unsettled runs again, line by line."""
+    unsettled = runs.where("unsettled").select(*RUN, "boundary")
     recounted = (
         staged.where(~F.col("blank"))
-        .join(reaching, RUN)
-        .where(line_no >= F.col("skip"))
+        .join(F.broadcast(unsettled) if n_runs <= BROADCAST_RUNS else unsettled, RUN)
+        .where(F.col("line_id") >= F.col("boundary"))
         .groupBy(*RUN)
-        .agg(
-            F.count(F.lit(1)).alias("n_left"),
-            F.min("line_id").alias("first_left"),
-            F.max("line_id").alias("last_left"),
-        )
+        .agg(F.count(F.lit(1)).alias("n_left"), F.min("line_id").alias("first_left"))
     )
-    whole = F.col("lines_before") >= F.col("skip")
-    return counted.join(recounted, RUN, "left").select(
-        *RUN,
-        "file_no",
-        "first_id",
-        "lines_before",
-        F.when(whole, F.col("n_kept")).otherwise(F.coalesce("n_left", F.lit(0))).alias("n_kept"),
-        F.when(whole, F.col("first_kept")).otherwise(F.col("first_left")).alias("first_kept"),
-        F.when(whole, F.col("last_kept")).otherwise(F.col("last_left")).alias("last_kept"),
+    again = F.col("unsettled")
+    return runs.join(recounted, RUN, "left").withColumns(
+        {
+            "n_kept": F.when(again, F.coalesce("n_left", F.lit(0))).otherwise(F.col("n_kept")),
+            "first_kept": F.when(again, F.col("first_left")).otherwise(F.col("first_kept")),
+            "unsettled": F.lit(False),
+        }
     )
 
 
@@ -180,7 +202,8 @@ def _with_kept_before(runs: DataFrame, n_files: int) -> DataFrame:
         placed = placed.join(groups, "file_group").withColumn(
             "kept_before", F.col("kept_before") + F.col("before_group")
         )
-    return placed.select(*RUN, "first_id", "lines_before", "n_kept", "first_kept", "last_kept", "kept_before")
+    kept = ["first_id", "lines_before", "boundary", "unsettled", "n_kept", "first_kept", "last_kept", "kept_before"]
+    return placed.select("file_no", *RUN, *kept)
 
 
 def _place(staged: DataFrame, runs: DataFrame, n_runs: int, any_gaps: bool) -> DataFrame:
