@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 
 def int_or_default(value: Column, default: int) -> Column:
-    """The value as a 64-bit integer; NULL or unreadable text gives ``default``."""
-    return F.coalesce(value.try_cast("bigint"), F.lit(default).cast("bigint"))
+    """The value as a 64-bit integer; NULL or unreadable text gives ``default``.
+
+    A failing cast costs an exception per row inside Spark, so text that does not
+    begin like a number is not cast at all.
+    """
+    begins_well = value.cast("string").rlike(r"^\s*[-+]?[.\d]")
+    return F.coalesce(F.when(begins_well, value.try_cast("bigint")), F.lit(default).cast("bigint"))
 
 
 def is_blank(line: Column) -> Column:

@@ -314,6 +314,9 @@ def test_scalars(spark):
     df = spark.createDataFrame([("7", " "), ("x", "　\t"), (None, " a"), ("99999999999", "​")], "n STRING, l STRING")
     got = df.select(scalars.int_or_default(F.col("n"), -1), scalars.is_blank(F.col("l"))).collect()
     assert [tuple(r) for r in got] == [(7, True), (-1, True), (-1, False), (99999999999, False)]
+    values = spark.sql("SELECT 12.0D a, 7 b, CAST(-3 AS DECIMAL(5,0)) c, ' +5 ' d, '1x' e, '1.5' f, '' g")
+    got = values.select(*[scalars.int_or_default(F.col(c), -9).alias(c) for c in values.columns]).first()
+    assert tuple(got) == (12, 7, -3, 5, -9, -9, -9)
     row = spark.range(1).select(
         scalars.zero_pad(F.lit(7), 3), scalars.zero_pad(F.lit(1234), 3), scalars.strip_brackets(F.lit("[a].[b]")),
         scalars.time_stamp(F.lit("2020-01-02 03:04:05").cast("timestamp")), scalars.first_match(F.lit("x_12_34"), r"\d+"),
