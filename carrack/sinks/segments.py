@@ -124,7 +124,8 @@ class SegmentedTable:
         """Add ``rows`` as the next segment, in one visible step; returns them as written.
 
         ``gone`` gets the written rows and gives the keys whose older rows they
-        replace, so the source is read only once.  ``stream`` is a stream's name and
+        replace, so the source is read only once.  No rows make no segment, unless the
+        position of a stream has to be recorded.  ``stream`` is a stream's name and
         batch number; publishing the same batch again changes nothing.  ``marks`` are
         kept in the commit record for the next change to look up.  What was written
         is removed if anything fails before the commit.
@@ -137,6 +138,9 @@ class SegmentedTable:
         try:
             self._write_rows(rows, state, rows_path)
             written = self.spark.read.schema(state.schema).parquet(rows_path)
+            if stream is None and written.isEmpty():
+                storage.delete(self.spark, rows_path)
+                return self.spark.createDataFrame([], state.schema)
             keys = gone(written) if gone else None
             if keys is not None:
                 keys = keys.select(F.col(state.key).alias("__gone_key")).where("__gone_key IS NOT NULL")

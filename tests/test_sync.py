@@ -75,7 +75,7 @@ def test_empty_target_is_a_full_load_and_sync_twice_is_once(spark):
     assert result.before == Watermark(-1, -1) and result.n_records == 2
     assert rows(replica.read()) == [(1, "a", 0, 0), (2, "b", 5, 2**40)]
     assert sync_replica(replica, source, RULE).n_records == 0
-    assert replica.read().count() == 2
+    assert replica.read().count() == 2 and replica.state().version == 1
     assert result.records_per_second > 0
 
 
