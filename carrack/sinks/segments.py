@@ -25,6 +25,7 @@ from .. import storage
 from ..operators.sizing import broadcast_if_small
 
 SEGMENT = "__seg"
+KEPT_RECORDS = 20
 
 
 @dataclass(frozen=True)
@@ -201,6 +202,8 @@ class SegmentedTable:
     def _commit(self, state: State) -> None:
         storage.make_dir(self.spark, f"{self.path}/_commits")
         storage.write_text(self.spark, f"{self.path}/_commits/{_record(state.version)}", state.to_json())
+        # Only the newest record is ever read; a few older ones show what happened.
+        storage.delete(self.spark, f"{self.path}/_commits/{_record(state.version - KEPT_RECORDS)}")
 
 
 def _record(version: int) -> str:

@@ -12,7 +12,7 @@ from carrack.operators import keys, sizing
 from carrack.operators.versions import Watermark, changed_keys, delta_rows, watermark
 from carrack.plans.sync import SyncRule, create_replica, replica_mark, sync_dataset, sync_replica, sync_summary, target_mark
 from carrack.session import scratch_path
-from carrack.sinks.segments import SegmentedTable
+from carrack.sinks import segments
 from carrack.streaming.replicate import replicate_stream
 
 COLUMNS = "k BIGINT, v STRING, cv BIGINT, mv BIGINT"
@@ -196,6 +196,15 @@ def test_partitioned_and_clustered_replica(spark):
     assert rows(by_name.read()) == rows(source)
 
 
+def test_old_commit_records_are_removed(spark, monkeypatch):
+    monkeypatch.setattr(segments, "KEPT_RECORDS", 2)
+    replica = create_replica(spark, scratch_path(spark, "test"), frame(spark), RULE)
+    for i in range(4):
+        replica.publish(frame(spark, (i, "a", 1, 1)))
+    assert len(storage.list_dir(spark, f"{replica.path}/_commits")) == 2
+    assert replica.state().version == 4 and replica.read().count() == 4
+
+
 def test_compact_keeps_the_rows(spark):
     source = frame(spark, (1, "a", 1, 1), (2, "b", 1, 1))
     replica = replica_of(spark, source, source)
