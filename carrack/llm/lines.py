@@ -1,14 +1,9 @@
 """Line dedup: two Bloom filters find suspects, only suspects are shuffled.
 
-Every task adds the keys of its lines to two bit maps: seen once, and seen at least
-twice.  The maps are merged segment by segment (a bit is "twice" if it is twice
-somewhere or once in two places), so the second filter holds every key that occurs in
-two documents, and few others.  Keys that are not in it are never shuffled.  Suspects
-go, as 128-bit digests, to an exact count of documents and the choice of the document
-that keeps them; the lines are then dropped in their documents.
-
-The filters have a fixed size, given by ``log2_bits``; on tables too large for it more
-keys are suspected and shuffled, with the same result.
+:mod:`.bloom` gives a filter that holds the keys of lines that occur in two documents,
+and few others.  Keys that are not in it are never shuffled.  Suspects go, as 128-bit
+digests, to an exact count of documents and the choice of the document that keeps them;
+the lines are then dropped in their documents.
 
 Cases: a null or empty text is one empty line; lines of a document that occur twice
 in it count once; rows with the same doc_id are one document for counting and are
@@ -18,7 +13,6 @@ do not count.  An empty table gives an empty table.  Other columns are not read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import BLANKS, documents, map_batches, ship_package, texts, written
-
-LOG2_BITS = 26
-LOG2_SEGMENT = 21
-#: Maps of one segment that are merged in one step.
-FAN_IN = 256
+from .bloom import LOG2_BITS, holds, twice_seen
+from .tables import BLANKS, documents, map_batches, texts, written
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -51,69 +41,8 @@ def _document_digests(text: bytes, min_chars: int) -> set[bytes]:
     return {key_digest(key) for line in text.split(b"\n") if (key := line_key(line, min_chars)) is not None}
 
 
-def _places(digests: list[bytes], log2_bits: int) -> np.ndarray:
-    """Two bit positions per digest, as rows."""
-    halves = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
-    return (halves >> np.uint64(64 - log2_bits)).astype(np.int64)
-
-
-def twice_seen(docs: DataFrame, min_chars: int, log2_bits: int = LOG2_BITS) -> np.ndarray:
-    """The second filter as bytes: both bits of each key that occurs in two rows are set."""
-    ship_package(docs.sparkSession)
-    log2_segment = min(LOG2_SEGMENT, log2_bits)
-    segment_bytes = 1 << (log2_segment - 3)
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(1 << log2_bits, np.bool_), np.zeros(1 << log2_bits, np.bool_)
-        any_row = False
-        for batch in batches:
-            for text in texts(batch):
-                if digests := list(_document_digests(text, min_chars)):
-                    any_row = True
-                    # A bit is "twice" only through two documents, so a document adds its bits as a set.
-                    bits = np.unique(_places(digests, log2_bits))
-                    twice[bits[once[bits]]] = True
-                    once[bits] = True
-        if any_row:
-            number = xxhash.xxh32_intdigest(np.packbits(once[: 1 << 16]).tobytes()) % FAN_IN
-            for k in range(1 << (log2_bits - log2_segment)):
-                part = slice(k << log2_segment, (k + 1) << log2_segment)
-                if once[part].any():
-                    maps = [zlib.compress(np.packbits(bits[part]).tobytes(), 1) for bits in (once, twice)]
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "segment": pa.array([k], pa.int32()),
-                            "share": pa.array([number], pa.int32()),
-                            "once": pa.array([maps[0]], pa.binary()),
-                            "twice": pa.array([maps[1]], pa.binary()),
-                        }
-                    )
-
-    def merge(key: tuple, table: pa.Table) -> pa.Table:
-        once, twice = np.zeros(segment_bytes, np.uint8), np.zeros(segment_bytes, np.uint8)
-        for a, b in zip(table.column("once"), table.column("twice")):
-            more, again = (np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in (a, b))
-            twice |= again | (once & more)
-            once |= more
-        maps = [zlib.compress(bits.tobytes(), 1) for bits in (once, twice)]
-        return pa.table(
-            {
-                "segment": pa.array([key[0].as_py()], pa.int32()),
-                "share": pa.array([0], pa.int32()),
-                "once": pa.array([maps[0]], pa.binary()),
-                "twice": pa.array([maps[1]], pa.binary()),
-            }
-        )
-
-    schema = "segment int, share int, once binary, twice binary"
-    parts = docs.select("text").mapInArrow(build, schema)
-    shares = parts.groupBy("segment", "share").applyInArrow(merge, schema)
-    whole = shares.groupBy("segment").applyInArrow(merge, schema).select("segment", "twice")
-    filled = np.zeros(1 << (log2_bits - 3), np.uint8)
-    for row in whole.toLocalIterator():  # at most 2^log2_bits / 8 bytes, a segment at a time
-        at = row["segment"] * segment_bytes
-        filled[at : at + segment_bytes] = np.frombuffer(zlib.decompress(row["twice"]), np.uint8)
-    return filled
+def _filter_keys(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(digests), "<u8")[::2]
 
 
 def repeated_lines(
@@ -126,20 +55,22 @@ def repeated_lines(
     """
     if min_docs < 2:
         raise ValueError("min_docs is 2 at least")
-    seen = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, min_chars, log2_bits))
+
+    def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for text in texts(batch):
+            yield _filter_keys(list(_document_digests(text, min_chars)))
+
+    seen = docs.sparkSession.sparkContext.broadcast(twice_seen(docs.select("text"), keys_of, log2_bits))
 
     def suspects(batch: pa.RecordBatch) -> Iterator[dict]:
-        bits = seen.value
         ids, found = [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
             digests = list(_document_digests(text, min_chars))
             if doc_id is None or not digests:
                 continue
-            at = _places(digests, log2_bits)
-            hit = ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(1)
-            chosen = [digests[n] for n in np.flatnonzero(hit)]
-            ids += [doc_id] * len(chosen)
-            found += chosen
+            hit = np.flatnonzero(holds(seen.value, _filter_keys(digests), log2_bits))
+            ids += [doc_id] * len(hit)
+            found += [digests[n] for n in hit]
         if ids:
             yield {"doc_id": ids, "digest": found}
 

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines
+from . import lines, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": lines.op3_line_dedup,
+    "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
