@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, simhash
+from . import lines, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
+    "op5_substring_dedup": substrings.op5_substring_dedup,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
+    "op5_substring_dedup": substrings.ORACLE,
 }
