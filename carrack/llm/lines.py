@@ -75,11 +75,13 @@ def repeated_lines(
             yield {"doc_id": ids, "digest": found}
 
     suspected = written(map_batches(docs.select("doc_id", "text"), suspects, "doc_id long, digest binary"), "suspects")
-    repeated = (
+    # Written, so that both sides of the join are shuffled for it and a hot line is split among tasks.
+    repeated = written(
         suspected.groupBy("digest")
         .agg(F.countDistinct("doc_id").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("digest", "keeper")
+        .select("digest", "keeper"),
+        "repeated",
     )
     return (
         suspected.join(repeated, "digest")
