@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, simhash, substrings
+from . import lines, packing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op5_substring_dedup": substrings.op5_substring_dedup,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
