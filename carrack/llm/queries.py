@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, packing, pieces, simhash, substrings
+from . import langid, lines, packing, pieces, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": langid.op1_language_id,
     "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
