@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import documents, map_batches, texts
+from .tables import documents, extend_batches, map_batches, texts
 
 UNKNOWN = "und"
 SAMPLE = 4096
@@ -218,9 +218,8 @@ _scorers: dict[int, _Scorer] = {}
 def identified(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``docs`` with ``lang_pred, score, rejected``, which replace columns so named; only the text is read for them."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    given = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "rejected")]
 
-    def work(batch: pa.RecordBatch) -> Iterator[dict]:
+    def work(batch: pa.RecordBatch) -> dict:
         if shared.value is None:
             found = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
         else:
@@ -229,11 +228,9 @@ def identified(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
                 _scorers.clear()
                 _scorers[key] = _Scorer(shared.value)
             found = _scorers[key].predict([t.decode("utf-8", "replace") for t in texts(batch)])
-        yield {f.name: batch.column(f.name) for f in given} | dict(zip(("lang_pred", "score", "rejected"), found))
+        return dict(zip(("lang_pred", "score", "rejected"), found))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given)
-    schema += ", lang_pred string, score double, rejected boolean"
-    return map_batches(docs.select(*[f"`{f.name}`" for f in given]), work, schema)
+    return extend_batches(docs, work, "lang_pred string, score double, rejected boolean")
 
 
 def held_out(doc_id: Column) -> Column:

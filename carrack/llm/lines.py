@@ -8,7 +8,8 @@ the lines are then dropped in their documents.
 Cases: a null or empty text is one empty line; lines of a document that occur twice
 in it count once; rows with the same doc_id are one document for counting and are
 each rewritten; rows without doc_id are rewritten against the keys of the others but
-do not count.  An empty table gives an empty table.  Other columns are not read.
+do not count.  Other columns are kept.
+An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bloom import LOG2_BITS, holds, twice_seen
-from .tables import BLANKS, documents, map_batches, texts, written
+from .tables import BLANKS, documents, extend_batches, map_batches, texts, written
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -94,11 +95,11 @@ def repeated_lines(
 def drop_repeated_lines(
     docs: DataFrame, min_chars: int = 20, min_docs: int = 3, log2_bits: int = LOG2_BITS
 ) -> DataFrame:
-    """``doc_id, n_lines, n_dropped, kept_text``: every document without the lines it loses."""
+    """``docs`` with ``n_lines, n_dropped, kept_text``: every document without the lines it loses."""
 
-    def rewrite(batch: pa.RecordBatch) -> Iterator[dict]:
-        ids, all_lines, dropped, kept = batch.column("doc_id").to_pylist(), [], [], []
-        for text, lost in zip(texts(batch), batch.column("digests").to_pylist()):
+    def rewrite(batch: pa.RecordBatch) -> dict:
+        all_lines, dropped, kept = [], [], []
+        for text, lost in zip(texts(batch), batch.column("__digests").to_pylist()):
             lines = text.split(b"\n")
             all_lines.append(len(lines))
             if lost:
@@ -106,11 +107,11 @@ def drop_repeated_lines(
                 lines = [x for x in lines if (key := line_key(x, min_chars)) is None or key_digest(key) not in gone]
             dropped.append(all_lines[-1] - len(lines))
             kept.append(b"\n".join(lines).decode("utf-8", "replace"))
-        yield {"doc_id": ids, "n_lines": all_lines, "n_dropped": dropped, "kept_text": kept}
+        return {"n_lines": all_lines, "n_dropped": dropped, "kept_text": kept}
 
-    lost = repeated_lines(docs, min_chars, min_docs, log2_bits)
-    joined = docs.select("doc_id", "text").join(lost, "doc_id", "left")
-    return map_batches(joined, rewrite, "doc_id long, n_lines long, n_dropped long, kept_text string")
+    lost = repeated_lines(docs, min_chars, min_docs, log2_bits).withColumnRenamed("digests", "__digests")
+    joined = docs.join(lost, "doc_id", "left")
+    return extend_batches(joined, rewrite, "n_lines long, n_dropped long, kept_text string", ("__digests",))
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bloom import LOG2_BITS, holds, twice_seen
-from .tables import documents, map_batches, texts, written
+from .tables import documents, extend_batches, map_batches, texts, written
 
 LENGTH = 50
 SEED_WORDS = 25
@@ -128,7 +128,7 @@ def _tables(length: int, seed_words: int, log2_bits: int):
             row, anchor, run, first, last = map(np.concatenate, zip(*rows))
             yield {
                 "doc_id": batch.column("doc_id").take(pa.array(row)),
-                "copy": batch.column("copy").take(pa.array(row)),
+                "__copy": batch.column("__copy").take(pa.array(row)),
                 "anchor": anchor,
                 "run": run,
                 "first": first,
@@ -147,7 +147,7 @@ def _tables(length: int, seed_words: int, log2_bits: int):
             row, left, right, start = map(np.concatenate, zip(*rows))
             yield {
                 "doc_id": batch.column("doc_id").take(pa.array(row)),
-                "copy": batch.column("copy").take(pa.array(row)),
+                "__copy": batch.column("__copy").take(pa.array(row)),
                 "w1": left,
                 "w2": right,
                 "first": start,
@@ -158,18 +158,18 @@ def _tables(length: int, seed_words: int, log2_bits: int):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows that share a doc_id but not their text are told apart by ``copy``."""
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("copy"))
+    """Rows that share a doc_id but not their text are told apart by ``__copy``."""
+    return docs.withColumn("__copy", F.xxhash64("text"))
 
 
 def repeated_windows(
     docs: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS, log2_bits: int = LOG2_BITS
 ) -> DataFrame:
-    """``doc_id, copy, spans``: first and last start of the windows that a smaller doc_id also holds."""
+    """``doc_id, __copy, spans``: first and last start of the windows that a smaller doc_id also holds."""
     if not 1 <= seed_words <= length:
         raise ValueError("a seed has at least one word and at most those of a window")
     keys_of, suspects, extended = _tables(length, seed_words, log2_bits)
-    known = docs.where("doc_id IS NOT NULL")
+    known = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     bits = docs.sparkSession.sparkContext.broadcast(twice_seen(known.select("text"), keys_of, log2_bits))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -177,7 +177,7 @@ def repeated_windows(
 
     span = "first int, last int"
     seeds = written(
-        map_batches(_keyed(known), work, f"doc_id long, copy long, anchor long, run long, {span}"), "seeds"
+        map_batches(_keyed(known), work, f"doc_id long, __copy long, anchor long, run long, {span}"), "seeds"
     )
     classes = written(
         seeds.groupBy("anchor", "run").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest")), "classes"
@@ -185,17 +185,17 @@ def repeated_windows(
     covered = (
         seeds.join(classes.where("owner < latest").drop("latest"), ["anchor", "run"])
         .where("doc_id > owner")
-        .select("doc_id", "copy", "first", "last")
+        .select("doc_id", "__copy", "first", "last")
     )
     several = classes.groupBy("anchor").agg(F.count("*").alias("n"), F.min("owner").alias("least")).where("n > 1")
     # A class whose owner is the least of all cannot be covered, but covers others: all owners are extended.
     owners = seeds.join(
         classes.join(several.select("anchor"), "anchor").select("anchor", "run", "owner"), ["anchor", "run"]
     ).where("doc_id = owner")
-    chosen = owners.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    chosen = owners.groupBy("doc_id", "__copy").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     windows = written(
         map_batches(
-            _keyed(known).join(chosen, ["doc_id", "copy"]), extended, f"doc_id long, copy long, w1 long, w2 long, {span}"
+            _keyed(known).join(chosen, ["doc_id", "__copy"]), extended, f"doc_id long, __copy long, w1 long, w2 long, {span}"
         ),
         "windows",
     )
@@ -205,8 +205,8 @@ def repeated_windows(
         .where("owner < latest")
         .drop("latest")
     )
-    more = windows.join(earliest, ["w1", "w2"]).where("doc_id > owner").select("doc_id", "copy", "first", "last")
-    return covered.union(more).groupBy("doc_id", "copy").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    more = windows.join(earliest, ["w1", "w2"]).where("doc_id > owner").select("doc_id", "__copy", "first", "last")
+    return covered.union(more).groupBy("doc_id", "__copy").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def removed_words(n_words: int, spans: list[dict] | None, length: int) -> np.ndarray:
@@ -221,14 +221,14 @@ def removed_words(n_words: int, spans: list[dict] | None, length: int) -> np.nda
 def drop_repeats(
     docs: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS, log2_bits: int = LOG2_BITS
 ) -> DataFrame:
-    """``doc_id, n_words, n_removed, repeats, kept_text``: every document without its repeated words.
+    """``docs`` with ``n_words, n_removed, repeats, kept_text``: every document without its repeated words.
 
     ``repeats`` holds the maximal repeats as first word and number of words.
     """
 
-    def rewrite(batch: pa.RecordBatch) -> Iterator[dict]:
-        out = {"doc_id": batch.column("doc_id"), "n_words": [], "n_removed": [], "repeats": [], "kept_text": []}
-        for text, spans in zip(texts(batch), batch.column("spans").to_pylist()):
+    def rewrite(batch: pa.RecordBatch) -> dict:
+        out = {"n_words": [], "n_removed": [], "repeats": [], "kept_text": []}
+        for text, spans in zip(texts(batch), batch.column("__spans").to_pylist()):
             words = text.split()
             gone = removed_words(len(words), spans, length)
             if gone.any():
@@ -241,15 +241,12 @@ def drop_repeats(
             out["n_removed"].append(int(gone.sum()))
             out["repeats"].append(repeats)
             out["kept_text"].append(b" ".join(kept).decode("utf-8", "replace"))
-        yield out
-
-    spans = repeated_windows(docs, length, seed_words, log2_bits)
-    joined = _keyed(docs).join(spans, ["doc_id", "copy"], "left")
-    return map_batches(
-        joined,
-        rewrite,
-        "doc_id long, n_words long, n_removed long, repeats array<struct<at: int, n: int>>, kept_text string",
-    )
+        return out
+
+    spans = repeated_windows(docs, length, seed_words, log2_bits).withColumnRenamed("spans", "__spans")
+    joined = _keyed(docs).join(spans, ["doc_id", "__copy"], "left")
+    added = "n_words long, n_removed long, repeats array<struct<at: int, n: int>>, kept_text string"
+    return extend_batches(joined, rewrite, added, ("__copy", "__spans"))
 
 
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import scratch_path
 
@@ -44,13 +46,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with ``work`` giving column dictionaries for slices of bounded size."""
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     ship_package(df.sparkSession)
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    target = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,6 +62,19 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]],
     return df.mapInArrow(run, schema)
 
 
+def extend_batches(
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict], added: str, hidden: tuple[str, ...] = ()
+) -> DataFrame:
+    """The columns of ``df`` but ``hidden`` ones, and those of ``added``, which replace columns of their names."""
+    new = T.StructType.fromDDL(added)
+    kept = [f for f in df.schema.fields if f.name not in (*new.names, *hidden)]
+
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        yield {f.name: batch.column(f.name) for f in kept} | work(batch)
+
+    return map_batches(df, run, T.StructType([*kept, *new.fields]))
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch with about :data:`BATCH_BYTES` each, so that long texts do not add up."""
     rows = batch.num_rows
