@@ -11,7 +11,8 @@ right as far as it stays the anchor.
 2. Runs are joined on the anchor.  Those that extend equally are one class, and all
    windows of a run are repeats if its class has a smaller document.
 3. Where an anchor has several classes, the first run of each class is extended word by
-   word: each placement of a whole window around the anchor is compared by its digest.
+   word: each placement of a whole window around the anchor is compared by its digest,
+   again after a filter for those that two documents hold.
 4. Covered windows that follow each other are merged to maximal repeats, the spans of
    at least ``length`` words that are removed.
 
@@ -199,16 +200,33 @@ def repeated_windows(
         ),
         "windows",
     )
+    shared = _held_twice(windows, log2_bits)
     earliest = (
-        windows.groupBy("w1", "w2")
+        shared.groupBy("w1", "w2")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest"))
         .where("owner < latest")
         .drop("latest")
     )
-    more = windows.join(earliest, ["w1", "w2"]).where("doc_id > owner").select("doc_id", "__copy", "first", "last")
+    more = shared.join(earliest, ["w1", "w2"]).where("doc_id > owner").select("doc_id", "__copy", "first", "last")
     return covered.union(more).groupBy("doc_id", "__copy").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
+def _held_twice(windows: DataFrame, log2_bits: int) -> DataFrame:
+    """The windows that may be in two documents; the others need no shuffle."""
+
+    def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        ids, keys = batch.column("doc_id").to_numpy(), batch.column("w1").to_numpy().view(np.uint64)
+        yield from np.split(keys, np.flatnonzero(np.diff(ids)) + 1)
+
+    bits = windows.sparkSession.sparkContext.broadcast(twice_seen(windows.select("doc_id", "w1"), keys_of, log2_bits))
+
+    def work(batch: pa.RecordBatch) -> Iterator[dict]:
+        hit = pa.array(holds(bits.value, batch.column("w1").to_numpy().view(np.uint64), log2_bits))
+        yield dict(zip(batch.schema.names, batch.filter(hit).columns))
+
+    return map_batches(windows, work, windows.schema)
+
+
 def removed_words(n_words: int, spans: list[dict] | None, length: int) -> np.ndarray:
     """A flag for each word that a repeated window covers."""
     change = np.zeros(n_words + 1, np.int64)
