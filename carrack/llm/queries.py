@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lines, packing, pieces, simhash, substrings
+from . import langid, lines, packing, pieces, simhash, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -14,9 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op5_substring_dedup": substrings.op5_substring_dedup,
+    "op6_embedding_near_dedup": vectors.op6_embedding_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
     "op5_substring_dedup": substrings.ORACLE,
+    "op6_embedding_near_dedup": vectors.ORACLE,
 }
