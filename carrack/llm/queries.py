@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lines, packing, pieces, simhash, substrings, vectors
+from . import langid, lines, packing, pieces, simhash, substrings, syncmers, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": substrings.op5_substring_dedup,
     "op6_embedding_near_dedup": vectors.op6_embedding_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_syncmer_fingerprints": syncmers.op9_syncmer_fingerprints,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
