@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lines, packing, pieces, simhash, substrings, syncmers, vectors
+from . import langid, lines, packing, pieces, simhash, substrings, syncmers, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -17,9 +17,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_embedding_near_dedup": vectors.op6_embedding_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_syncmer_fingerprints": syncmers.op9_syncmer_fingerprints,
+    "op10_warc_archives": warc.op10_warc_archives,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
     "op5_substring_dedup": substrings.ORACLE,
     "op6_embedding_near_dedup": vectors.ORACLE,
+    "op10_warc_archives": warc.ORACLE,
 }
