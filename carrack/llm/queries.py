@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lines, packing, pieces, simhash, substrings, syncmers, vectors, warc
+from . import langid, lines, packing, pieces, quotes, simhash, substrings, syncmers, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op5_substring_dedup": substrings.op5_substring_dedup,
     "op6_embedding_near_dedup": vectors.op6_embedding_near_dedup,
+    "op7_quotation_links": quotes.op7_quotation_links,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_syncmer_fingerprints": syncmers.op9_syncmer_fingerprints,
     "op10_warc_archives": warc.op10_warc_archives,
@@ -23,5 +24,6 @@ ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
     "op5_substring_dedup": substrings.ORACLE,
     "op6_embedding_near_dedup": vectors.ORACLE,
+    "op7_quotation_links": quotes.ORACLE,
     "op10_warc_archives": warc.ORACLE,
 }
