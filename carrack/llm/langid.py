@@ -46,7 +46,7 @@ LAYER_RATE = 1.0
 KEEP = 0.999
 SURE = 0.4
 #: Words that a Python worker remembers with what they add.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 750_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 

@@ -34,8 +34,8 @@ SEQUENCE = 2048
 OPEN_BINS = 4096
 PIECES_PER_BATCH = 10_000
 BATCHES_PER_PART = 25
-#: Words that a Python worker remembers with their ids.
-WORDS_KEPT = 400_000
+#: Words that a Python worker remembers with their ids, in each of two generations.
+WORDS_KEPT = 250_000
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -51,15 +51,19 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: Ids of words, of this generation and of the one before.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.split() for t in texts]
-        new = list(set().union(*split) - self.known.keys())
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
-            new = list(set().union(*split))
+        if len(self.known) > WORDS_KEPT:  # words that are met again move to the new generation
+            self.older, self.known = self.known, {}
+        met = set().union(*split) - self.known.keys()
+        again = met & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        new = list(met - again)
         encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
         self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
         known = self.known

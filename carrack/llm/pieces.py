@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .tables import documents, map_batches, texts
 
 MARK = "▁"
-#: Words that a Python worker remembers with their ids.
+#: Words that a Python worker remembers with their ids, in each of two generations.
 WORDS_KEPT = 250_000
 #: Symbols that are merged in one flat array, beside one longer word.
 FLAT_SYMBOLS = 1 << 20
@@ -86,7 +86,9 @@ class PieceModel:
         self.bytes = np.frombuffer(b"".join(decoded), np.uint8)
         self.is_control = np.array([model.is_control(i) for i in range(n)])
         self.decimal = [str(i).encode() for i in range(n)]
+        #: Ids and decimals of words, of this generation and of the one before.
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def _mark_run(self) -> int:
         """How many marks a long run can be cut into without changing its ids; 0: it is not cut.
@@ -100,9 +102,8 @@ class PieceModel:
             return 0
         worst = self.ranks.max()
         own = {rank for key, rank, i in zip(self.keys, self.ranks, self.merged) if set(self.pieces[i]) == {MARK}}
-        whole = self._merge([MARK * (2 * longest)])[0]
-        once = self._merge([MARK * longest])[0]
-        return longest if own == {worst} and len(once) == 1 and list(whole) == list(once) * 2 else 0
+        whole, once = self._merge([MARK * (2 * longest)])[0].tolist(), self._merge([MARK * longest])[0].tolist()
+        return longest if own == {worst} and len(once) == 1 and whole == once * 2 else 0
 
     def _split(self, text: str) -> list[str]:
         """Words of a text with its dummy prefix; none crosses a boundary of pieces."""
@@ -121,8 +122,8 @@ class PieceModel:
             cut.append(word)
         return cut
 
-    def _merge(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word: merge rounds over one flat array."""
+    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words and where each ends: merge rounds over one flat array."""
         flat = "".join(words)
         points = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), "<u4")
         chars, where = np.unique(points, return_inverse=True)
@@ -174,8 +175,16 @@ class PieceModel:
         symbols = np.concatenate([s for _, s in done])
         order = np.argsort(word, kind="stable")
         word, symbols = word[order], symbols[order]
-        cuts = np.searchsorted(word, np.arange(1, len(words)))
-        return [self._with_bytes(x) for x in np.split(symbols, cuts)]
+        outside = np.flatnonzero(symbols >= self.n)
+        if len(outside):
+            parts, at = [], 0
+            for k in outside.tolist():
+                spelled = self.byte_ids[list(chr(int(symbols[k]) - self.n).encode("utf-8", "replace"))]
+                parts += [(symbols[at:k], word[at:k]), (spelled, np.full(len(spelled), word[k]))]
+                at = k + 1
+            parts.append((symbols[at:], word[at:]))
+            symbols, word = (np.concatenate(x) for x in zip(*parts))
+        return symbols, np.searchsorted(word, np.arange(len(words)), side="right")
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair, and where its piece is in the table."""
@@ -183,23 +192,17 @@ class PieceModel:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], _NONE), at
 
-    def _with_bytes(self, symbols: np.ndarray) -> np.ndarray:
-        if not len(symbols) or symbols.max() < self.n:
-            return symbols
-        out = []
-        for s in symbols.tolist():
-            out += [s] if s < self.n else self.byte_ids[list(chr(s - self.n).encode("utf-8", "replace"))].tolist()
-        return np.array(out, np.int64)
-
     def _learn(self, words: set[str]) -> None:
         """Encode new words, in flat arrays of bounded size."""
         group, size = [], 0
         for word in [*words, None]:
             if word is None or size + len(word) > FLAT_SYMBOLS:
                 if group:
-                    for known, ids in zip(group, self._merge(group)):
-                        decimal = b",".join([self.decimal[i] for i in ids.tolist()])
-                        self.known[known] = (ids.astype("<u4").tobytes(), decimal)
+                    symbols, ends = self._merge(group)
+                    raw, decimal, start = symbols.astype("<u4").tobytes(), [self.decimal[i] for i in symbols.tolist()], 0
+                    for known, end in zip(group, ends.tolist()):
+                        self.known[known] = (raw[4 * start : 4 * end], b",".join(decimal[start:end]))
+                        start = end
                 group, size = [], 0
             if word is not None:
                 group.append(word)
@@ -207,11 +210,12 @@ class PieceModel:
 
     def _words(self, batch: list[str]) -> list[list[str]]:
         split = [self._split(t) for t in batch]
+        if len(self.known) > WORDS_KEPT:  # words that are met again move to the new generation
+            self.older, self.known = self.known, {}
         new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
-            new = set().union(*split)
-        self._learn(new)
+        again = new & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        self._learn(new - again)
         return split
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
