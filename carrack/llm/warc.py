@@ -247,7 +247,9 @@ class WarcReader(DataSourceReader):
         names = [x.path for x in files.get_file_info(FileSelector(root)) if x.type == FileType.File]
         return [_Archive(x) for x in sorted(names) if x.endswith((".warc", ".warc.gz"))]
 
-    def read(self, partition: _Archive) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Archive | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # Spark makes one partition if none is planned
+            return
         target = to_arrow_schema(SCHEMA)
         files, _ = _files(self.path)
 
