@@ -90,6 +90,6 @@ def text_shards(spark: SparkSession, folder: str) -> str:
         )
         parts = [e.name for e in storage.list_dir(spark, build) if e.name.startswith("part-")]
         for piece, part in enumerate(parts):
-            storage.rename(spark, f"{build}/{part}", f"{path}/cust_{number}_{piece:03d}{tag}{ending}")
+            storage.rename(spark, f"{build}/{part}", f"{path}/cust_{number}_{piece:09d}{tag}{ending}")
         storage.delete(spark, build)
     return path

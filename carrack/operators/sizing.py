@@ -32,14 +32,15 @@ class KeySpan(NamedTuple):
         return self.n_bytes <= BROADCAST_BYTES
 
 
-def _bytes_of(df: DataFrame) -> Column:
+def bytes_of(df: DataFrame) -> Column:
+    """The aggregate for what the rows of ``df`` take in memory."""
     width = reduce(add, [_width(f) for f in df.schema.fields], F.lit(ROW_OVERHEAD).cast("bigint"))
     return F.coalesce(F.sum(width), F.lit(0))
 
 
 def measured_bytes(df: DataFrame) -> int:
     """Bytes that the rows of ``df`` take in memory, from one narrow aggregation."""
-    return df.agg(_bytes_of(df).alias("n_bytes")).first()["n_bytes"]
+    return df.agg(bytes_of(df).alias("n_bytes")).first()["n_bytes"]
 
 
 def settled(df: DataFrame) -> tuple[DataFrame, int]:
@@ -49,7 +50,7 @@ def settled(df: DataFrame) -> tuple[DataFrame, int]:
     does not have to wait for the scan.
     """
     path, seen = scratch_path(df.sparkSession, "settled"), Observation()
-    df.observe(seen, _bytes_of(df).alias("n_bytes")).write.parquet(path)
+    df.observe(seen, bytes_of(df).alias("n_bytes")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n_bytes"]
 
 
@@ -58,7 +59,7 @@ def key_span(keys: DataFrame) -> KeySpan:
     [field] = keys.schema.fields
     if not isinstance(field.dataType, RANGE_TYPES):
         return KeySpan(measured_bytes(keys), None, None)
-    return KeySpan(*keys.agg(_bytes_of(keys), F.min(field.name), F.max(field.name)).first())
+    return KeySpan(*keys.agg(bytes_of(keys), F.min(field.name), F.max(field.name)).first())
 
 
 def cut_to_keys(df: DataFrame, keys: DataFrame, key: str, span: KeySpan) -> DataFrame:

@@ -42,7 +42,7 @@ WITH line AS (
        (SELECT unnest(range(0, (SELECT max(c_custkey) // 3000000 + 1 FROM customer))) AS piece) AS pieces),
 physical AS (
   SELECT shard, piece, line, k,
-         'cust_' || shard || '_' || lpad(CAST(piece AS VARCHAR), 3, '0') ||
+         'cust_' || shard || '_' || lpad(CAST(piece AS VARCHAR), 9, '0') ||
          CASE shard WHEN 0 THEN '_sys_src_AAAA.csv.gz'
                     WHEN 1 THEN '_sys_src_BBBB.csv.bz2'
                     ELSE '_plain.csv' END AS file_name,
@@ -74,7 +74,8 @@ def _statement_counts() -> str:
 def _statements() -> str:
     from .registry import STATEMENTS
 
-    return " UNION ALL ".join(STATEMENTS)
+    first, second, third = STATEMENTS
+    return f"""{first} AND c_name <> 'it''s; not a name' UNION ALL {second} AND c_name <> 'a ; b' UNION ALL {third}"""
 
 
 ORACLES: dict[str, str] = {
@@ -141,9 +142,14 @@ SELECT src.* FROM src LEFT JOIN tgt ON src.o_orderkey = tgt.o_orderkey
 WHERE tgt.o_orderkey IS NULL OR src.mv > tgt.mv
 UNION ALL
 SELECT tgt.* FROM src JOIN tgt ON src.o_orderkey = tgt.o_orderkey WHERE src.mv <= tgt.mv""",
+    "stream_duplicates": """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST,
+    event_type DESC NULLS LAST, value DESC NULLS LAST, props DESC NULLS LAST) AS place FROM events) AS ranked
+WHERE place = 1 OR user_id IS NULL""",
     "scalar_fields": """
 SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d%H%M%S') AS stamp,
-       lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS padded, o_orderstatus AS status,
+       lpad(CAST(o_custkey AS VARCHAR), greatest(8, length(CAST(o_custkey AS VARCHAR)))::INTEGER, '0') AS padded, o_orderstatus AS status,
        regexp_extract(o_orderpriority, '[0-9]+') AS digits,
        coalesce(TRY_CAST(substr(o_orderpriority, 1, 1) AS BIGINT), -1) AS priority,
        coalesce(TRY_CAST(o_orderstatus AS BIGINT), -1) AS no_number

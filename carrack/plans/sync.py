@@ -165,4 +165,6 @@ def sync_replica(
         stream,
         {rule.name: mark} if rule.name else None,
     )
-    return SyncResult(mark, written.count(), time.monotonic() - started)
+    n_records = written.count()
+    replica.tidy()
+    return SyncResult(mark, n_records, time.monotonic() - started)

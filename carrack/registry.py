@@ -32,6 +32,14 @@ STATEMENTS = [
     "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_mktsegment = 'NO SUCH SEGMENT'",
 ]
 
+#: The same as one text: semicolons in comments and in quotes do not end a statement.
+STATEMENT_TEXT = f"""
+-- the first one; it doesn't end here
+{STATEMENTS[0]} AND c_name <> 'it\\'s; not a name' ;
+/* a ; comment /* and a nested; one */ it's over */ {STATEMENTS[1]} AND c_name <> "a ; b";;
+{STATEMENTS[2]} -- can't be; more
+"""
+
 
 # Replication
 
@@ -118,7 +126,7 @@ def _exact_text(df: DataFrame) -> DataFrame:
 
 def statement_union(spark: SparkSession, folder: str) -> DataFrame:
     parquet_table(spark, folder, "customer").createOrReplaceTempView("customer")
-    return load.union_statements(spark, STATEMENTS)
+    return load.union_statements(spark, STATEMENT_TEXT)
 
 
 def statement_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -228,6 +236,17 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return replica.read()
 
 
+def stream_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest event of each user, from a stream in which users come again and again."""
+    events = parquet_table(spark, folder, "events")
+    replica = sync.create_replica(spark, scratch_path(spark, "users"), events, sync.SyncRule("event_id", "ts", "user_id"))
+    source = _stream_files(spark, events, "event_id")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3).parquet(source)
+    checkpoint = scratch_path(spark, "checkpoint-users")
+    replicate_stream(stream, replica, "user_id", checkpoint, "upsert", "ts").awaitTermination()
+    return replica.read()
+
+
 def encrypt_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     key = cipher.derive_key("a password for the test tables", bytes(range(16)))
     sealed = parquet_table(spark, folder, "customer").select(
@@ -287,5 +306,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encrypt_roundtrip": encrypt_roundtrip,
     "stream_sync": stream_sync,
     "stream_upsert": stream_upsert,
+    "stream_duplicates": stream_duplicates,
     "scalar_fields": scalar_fields,
 }

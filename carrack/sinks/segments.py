@@ -4,28 +4,55 @@ Rewriting a large table for a small change is what a plain folder of parquet fil
 would need.  Here a change writes the new rows and the keys they replace, and a
 numbered commit record makes both visible in one step:
 
-    rows/seg=<n>/     rows added by change n
-    gone/seg=<n>/     keys whose rows from changes before n are replaced
-    _commits/<n>.json schema, first live segment, stream positions, version marks
+    rows/__seg=<n>/__try=<attempt>/   rows added by change n
+    gone/__seg=<n>/__try=<attempt>/   keys whose rows from changes before n are replaced
+    _commits/<n>.json                 schema, live segments, stream positions, version marks
 
-Reading takes away replaced rows with one anti-join.  One writer at a time.
+An attempt has folders of its own, and only those named in the newest record are read:
+a failed attempt, or that of a second writer who comes too late, is never seen and
+takes away nothing but its own files.  Reading takes away replaced rows with one
+anti-join.  Segments of similar size are merged as they add up, so their number, and
+the record, stay small.
 """
 
 from __future__ import annotations
 
+import contextlib
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import storage
-from ..operators.sizing import broadcast_if_small
+from ..operators import sizing
 
 SEGMENT = "__seg"
+ATTEMPT = "__try"
+GONE_KEY = "__gone_key"
+#: Text in a partition column is coded, since a folder name cannot tell '' from NULL.
+CODED = "__v_"
 KEPT_RECORDS = 20
+#: Segments that are left alone, and how much larger an older one may be to be merged with newer ones.
+FEW_SEGMENTS = 8
+GROWTH = 3
+
+
+class Segment(NamedTuple):
+    """One change: its number, its attempt, how many rows it added and the bytes of the keys it replaced."""
+
+    number: int
+    attempt: str
+    n_rows: int
+    gone_bytes: int
+
+    @property
+    def folder(self) -> str:
+        return f"{SEGMENT}={self.number}/{ATTEMPT}={self.attempt}"
 
 
 @dataclass(frozen=True)
@@ -33,15 +60,16 @@ class State:
     """What one commit record says."""
 
     version: int
-    base: int
     schema: T.StructType
     key: str | None
     partition_by: tuple[str, ...]
     derived: dict[str, str]
     cluster_by: tuple[str, ...]
-    gone: tuple[int, ...]
+    segments: tuple[Segment, ...]
+    retired: tuple[str, ...]
     streams: dict[str, int]
     marks: dict[str, list[int]]
+    attempt: str
 
     def to_json(self) -> str:
         return json.dumps({**self.__dict__, "schema": self.schema.jsonValue()})
@@ -50,7 +78,8 @@ class State:
     def from_json(cls, text: str) -> State:
         raw = json.loads(text)
         raw["schema"] = T.StructType.fromJson(raw["schema"])
-        for name in ("partition_by", "cluster_by", "gone"):
+        raw["segments"] = tuple(Segment(*s) for s in raw["segments"])
+        for name in ("partition_by", "cluster_by", "retired"):
             raw[name] = tuple(raw[name])
         return cls(**raw)
 
@@ -83,7 +112,9 @@ class SegmentedTable:
         if derived:
             empty = spark.createDataFrame([], schema)
             full = empty.select("*", *[F.expr(text).alias(name) for name, text in derived.items()]).schema
-        table._commit(State(0, 1, full, key, tuple(partition_by), derived, tuple(cluster_by), (), {}, {}))
+        table._commit(
+            State(0, full, key, tuple(partition_by), derived, tuple(cluster_by), (), (), {}, {}, uuid.uuid4().hex)
+        )
         return table
 
     def drop(self) -> None:
@@ -97,23 +128,9 @@ class SegmentedTable:
         return State.from_json(storage.read_text(self.spark, f"{self.path}/_commits/{max(records)}"))
 
     def read(self) -> DataFrame:
-        """The live rows.  Replaced keys are broadcast within the measured bound."""
+        """The live rows.  Replaced keys are broadcast if their recorded size is within the bound; no job runs."""
         state = self.state()
-        names = [f"`{f.name}`" for f in state.schema.fields]
-        if state.version < state.base:
-            return self.spark.createDataFrame([], state.schema)
-        rows = self._segments("rows", state.schema).where(F.col(SEGMENT).between(state.base, state.version))
-        gone_in = [n for n in state.gone if n > state.base]
-        if gone_in:
-            key_field = T.StructField("__gone_key", state.schema[state.key].dataType)
-            gone = (
-                self._segments("gone", T.StructType([key_field]))
-                .where(F.col(SEGMENT).between(state.base + 1, state.version))
-                .withColumnRenamed(SEGMENT, "__gone_seg")
-            )
-            replaced = (F.col(state.key) == F.col("__gone_key")) & (F.col(SEGMENT) < F.col("__gone_seg"))
-            rows = rows.join(broadcast_if_small(gone), replaced, "left_anti")
-        return rows.select(*names)
+        return self._live(state, state.segments).select(*[_quoted(f.name) for f in state.schema.fields])
 
     def publish(
         self,
@@ -129,82 +146,184 @@ class SegmentedTable:
         position of a stream has to be recorded.  ``stream`` is a stream's name and
         batch number; publishing the same batch again changes nothing.  ``marks`` are
         kept in the commit record for the next change to look up.  What was written
-        is removed if anything fails before the commit.
+        is removed if anything fails before the commit.  If another writer commits the
+        same number first, ``FileExistsError`` is raised and nothing of it is touched.
         """
         state = self.state()
-        number = state.version + 1
-        rows_path, gone_path = f"{self.path}/rows/{SEGMENT}={number}", f"{self.path}/gone/{SEGMENT}={number}"
+        none = self.spark.createDataFrame([], state.schema)
         if stream and state.streams.get(stream[0], -1) >= stream[1]:
-            return self.spark.createDataFrame([], state.schema)
+            return none
+        segment = Segment(state.version + 1, uuid.uuid4().hex, 0, 0)
         try:
-            self._write_rows(rows, state, rows_path)
-            written = self.spark.read.schema(state.schema).parquet(rows_path)
-            if stream is None and written.isEmpty():
-                storage.delete(self.spark, rows_path)
-                return self.spark.createDataFrame([], state.schema)
-            keys = gone(written) if gone else None
+            segment = segment._replace(n_rows=self._write_rows(rows, state, segment))
+            if stream is None and not segment.n_rows:
+                self._remove(segment)
+                return none
+            keys = gone(self._rows(state, [segment]).drop(SEGMENT)) if gone else None
             if keys is not None:
-                keys = keys.select(F.col(state.key).alias("__gone_key")).where("__gone_key IS NOT NULL")
-                keys.write.mode("overwrite").parquet(gone_path)
+                keys = keys.select(F.col(state.key).alias(GONE_KEY)).where(F.col(GONE_KEY).isNotNull())
+                segment = segment._replace(gone_bytes=self._write_gone(keys, segment))
             self._commit(
                 replace(
                     state,
-                    version=number,
-                    gone=state.gone + ((number,) if keys is not None else ()),
+                    version=segment.number,
+                    segments=(*state.segments, segment),
                     streams={**state.streams, **({stream[0]: stream[1]} if stream else {})},
                     marks={**state.marks, **{name: list(mark) for name, mark in (marks or {}).items()}},
+                    attempt=segment.attempt,
                 )
             )
         except BaseException:
-            storage.delete(self.spark, rows_path)
-            storage.delete(self.spark, gone_path)
+            self._remove_unless_committed(segment)
             raise
-        return written
+        self._forget_record(segment.number)
+        return self._rows(state, [segment]).drop(SEGMENT)
+
+    def tidy(self) -> None:
+        """Merge the newest segments if there are many: only those of similar size are written again."""
+        segments = self.state().segments
+        if len(segments) <= FEW_SEGMENTS:
+            return
+        first, size = len(segments) - 1, segments[-1].n_rows
+        while first and (len(segments) - first < 2 or segments[first - 1].n_rows <= GROWTH * max(size, 1)):
+            first -= 1
+            size += segments[first].n_rows
+        self._merge(first)
 
     def compact(self) -> None:
-        """Write the live rows as one segment and start from it; then remove the older ones."""
+        """Write the live rows as one segment."""
+        if self.state().segments:
+            self._merge(0)
+
+    def _merge(self, first: int) -> None:
+        """Write the segments from ``first`` on as one.
+
+        Their files stay until the next merge, so that reads planned before still run;
+        those of the merge before this one go.
+        """
         state = self.state()
-        number = state.version + 1
-        rows_path = f"{self.path}/rows/{SEGMENT}={number}"
+        kept, merged = state.segments[:first], state.segments[first:]
+        segment = Segment(state.version + 1, uuid.uuid4().hex, 0, 0)
         try:
-            self._write_rows(self.read(), state, rows_path)
-            self._commit(replace(state, version=number, base=number, gone=()))
+            rows = self._live(state, merged).select(*[_quoted(f.name) for f in state.schema.fields])
+            segment = segment._replace(n_rows=self._write_rows(rows, state, segment))
+            if kept and any(s.gone_bytes for s in merged):
+                keys = self._gone(state, merged).select(GONE_KEY)
+                segment = segment._replace(gone_bytes=self._write_gone(keys, segment))
+            self._commit(
+                replace(
+                    state,
+                    version=segment.number,
+                    segments=(*kept, segment),
+                    retired=tuple(s.folder for s in merged),
+                    attempt=segment.attempt,
+                )
+            )
         except BaseException:
-            storage.delete(self.spark, rows_path)
+            self._remove_unless_committed(segment)
             raise
-        for kind in ("rows", "gone"):
-            for old in range(state.base, number):
-                storage.delete(self.spark, f"{self.path}/{kind}/{SEGMENT}={old}")
-        for entry in storage.list_dir(self.spark, f"{self.path}/_commits"):
-            if entry.name != _record(number):
-                storage.delete(self.spark, f"{self.path}/_commits/{entry.name}")
-
-    def _write_rows(self, rows: DataFrame, state: State, path: str) -> None:
-        given = {name for name in rows.columns}
+        with contextlib.suppress(Exception):
+            for folder in state.retired:
+                for kind in ("rows", "gone"):
+                    storage.delete(self.spark, f"{self.path}/{kind}/{folder}")
+        self._forget_record(segment.number)
+
+    def _live(self, state: State, segments: Sequence[Segment]) -> DataFrame:
+        """Rows of ``segments`` that none of them replaces."""
+        rows = self._rows(state, segments)
+        if not any(s.gone_bytes for s in segments[1:]):
+            return rows
+        # A key that was replaced many times is one row.
+        gone = self._gone(state, segments[1:]).withColumnRenamed(SEGMENT, "__gone_seg")
+        if sum(s.gone_bytes for s in segments[1:]) <= sizing.BROADCAST_BYTES:
+            gone = F.broadcast(gone)
+        replaced = (F.col(_quoted(state.key)) == F.col(GONE_KEY)) & (F.col(SEGMENT) < F.col("__gone_seg"))
+        return rows.join(gone, replaced, "left_anti")
+
+    def _rows(self, state: State, segments: Sequence[Segment]) -> DataFrame:
+        """All rows of ``segments`` with their number, text in partition columns decoded."""
+        coded = _coded(state)
+        fields = [T.StructField(CODED + f.name, f.dataType) if f.name in coded else f for f in state.schema.fields]
+        stored = self._scan("rows", T.StructType(fields), segments)
+        decoded = {name: F.substring(_quoted(CODED + name), 2, 2_147_483_647).alias(name) for name in coded}
+        return stored.select(*[decoded.get(f.name, F.col(_quoted(f.name))) for f in state.schema.fields], SEGMENT)
+
+    def _gone(self, state: State, segments: Sequence[Segment]) -> DataFrame:
+        """The last change that replaced each key, among ``segments``."""
+        field = T.StructField(GONE_KEY, state.schema[state.key].dataType)
+        keys = self._scan("gone", T.StructType([field]), [s for s in segments if s.gone_bytes])
+        return keys.groupBy(GONE_KEY).agg(F.max(SEGMENT).alias(SEGMENT))
+
+    def _scan(self, kind: str, schema: T.StructType, segments: Sequence[Segment]) -> DataFrame:
+        extended = T.StructType([*schema.fields, T.StructField(SEGMENT, T.IntegerType())])
+        if not segments:
+            return self.spark.createDataFrame([], extended)
+        base = f"{self.path}/{kind}"
+        paths = [f"{base}/{s.folder}" for s in segments]
+        return self.spark.read.schema(extended).option("basePath", base).parquet(*paths)
+
+    def _write_rows(self, rows: DataFrame, state: State, segment: Segment) -> int:
+        """Write the rows of a segment; how many there are is counted while they are written."""
+        given, coded, seen = set(rows.columns), _coded(state), Observation()
         columns = [
-            (F.expr(state.derived[f.name]) if f.name in state.derived and f.name not in given else F.col(f"`{f.name}`"))
+            (F.expr(state.derived[f.name]) if f.name in state.derived and f.name not in given else F.col(_quoted(f.name)))
             .cast(f.dataType)
             .alias(f.name)
             for f in state.schema.fields
         ]
-        rows = rows.select(*columns)
+        # Clustered by the true values, so that they are coded last.
+        rows = rows.select(*columns).observe(seen, F.count(F.lit(1)).alias("n"))
         if state.partition_by:
-            rows = rows.hint("rebalance", *[F.col(f"`{name}`") for name in state.partition_by])
+            rows = rows.hint("rebalance", *[F.col(_quoted(name)) for name in state.partition_by])
+        rows = rows.select(
+            *[_code(f.name).alias(CODED + f.name) if f.name in coded else _quoted(f.name) for f in state.schema.fields]
+        )
+        stored = [CODED + name if name in coded else name for name in state.partition_by]
         if state.cluster_by:
             # The writer needs its partition columns as the leading order.
-            rows = rows.sortWithinPartitions(*[F.col(f"`{n}`") for n in (*state.partition_by, *state.cluster_by)])
-        rows.write.mode("overwrite").partitionBy(*state.partition_by).parquet(path)
+            inside = [CODED + name if name in coded else name for name in state.cluster_by]
+            rows = rows.sortWithinPartitions(*[F.col(_quoted(n)) for n in (*stored, *inside)])
+        rows.write.partitionBy(*stored).parquet(f"{self.path}/rows/{segment.folder}")
+        return seen.get["n"]
 
-    def _segments(self, kind: str, schema: T.StructType) -> DataFrame:
-        extended = T.StructType([*schema.fields, T.StructField(SEGMENT, T.IntegerType())])
-        return self.spark.read.schema(extended).parquet(f"{self.path}/{kind}")
+    def _write_gone(self, keys: DataFrame, segment: Segment) -> int:
+        seen = Observation()
+        measured = keys.observe(seen, sizing.bytes_of(keys).alias("n"))
+        measured.write.parquet(f"{self.path}/gone/{segment.folder}")
+        return seen.get["n"]
 
     def _commit(self, state: State) -> None:
         storage.make_dir(self.spark, f"{self.path}/_commits")
-        storage.write_text(self.spark, f"{self.path}/_commits/{_record(state.version)}", state.to_json())
-        # Only the newest record is ever read; a few older ones show what happened.
-        storage.delete(self.spark, f"{self.path}/_commits/{_record(state.version - KEPT_RECORDS)}")
+        storage.write_text(self.spark, self._record(state.version), state.to_json())
+
+    def _remove(self, segment: Segment) -> None:
+        for kind in ("rows", "gone"):
+            storage.delete(self.spark, f"{self.path}/{kind}/{segment.folder}")
+
+    def _remove_unless_committed(self, segment: Segment) -> None:
+        """The clean-up of a failed attempt ends where its record is in place."""
+        record = self._record(segment.number)
+        if storage.exists(self.spark, record):
+            if State.from_json(storage.read_text(self.spark, record)).attempt == segment.attempt:
+                return
+        self._remove(segment)
+
+    def _forget_record(self, number: int) -> None:
+        """Only the newest record is ever read; a few older ones show what happened."""
+        with contextlib.suppress(Exception):
+            storage.delete(self.spark, self._record(number - KEPT_RECORDS))
+
+    def _record(self, version: int) -> str:
+        return f"{self.path}/_commits/{version:012d}.json"
+
+
+def _coded(state: State) -> list[str]:
+    return [name for name in state.partition_by if isinstance(state.schema[name].dataType, T.StringType)]
+
+
+def _code(name: str) -> Column:
+    return F.concat(F.lit("v"), F.col(_quoted(name)))
 
 
-def _record(version: int) -> str:
-    return f"{version:012d}.json"
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

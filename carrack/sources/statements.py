@@ -6,8 +6,11 @@ import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
-# Text in quotes, or anything that is neither a quote nor a semicolon.
-_PIECE = re.compile(r"""(?:'[^']*'|"[^"]*"|`[^`]*`|[^;'"`]|['"`])+""")
+# What a semicolon can stand in without ending a statement, and the semicolon itself.
+_TOKEN = re.compile(
+    r"""(?:\b[rR])(?:'[^']*'|"[^"]*")|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*|;""", re.DOTALL
+)
+_COMMENT_EDGE = re.compile(r"/\*|\*/")
 
 
 class Statement(NamedTuple):
@@ -16,8 +19,27 @@ class Statement(NamedTuple):
 
 
 def split_statements(text: str) -> list[str]:
-    """Split on semicolons outside quotes; blank pieces are dropped."""
-    return [piece.strip() for piece in _PIECE.findall(text) if piece.strip()]
+    """Split on semicolons outside quotes and comments; pieces without a statement are dropped.
+
+    Quotes have backslash escapes, but for raw strings; bracketed comments nest.
+    """
+    pieces, at, start, seen = [], 0, 0, []
+    while token := _TOKEN.search(text, at):
+        seen.append(text[at : token.start()])
+        at = token.end()
+        if token[0] == ";":
+            pieces.append((text[start : token.start()], "".join(seen)))
+            start, seen = at, []
+        elif token[0] == "/*":
+            depth = 1
+            while depth and (edge := _COMMENT_EDGE.search(text, at)):
+                depth += 1 if edge[0] == "/*" else -1
+                at = edge.end()
+            at = at if not depth else len(text)
+        elif not token[0].startswith("--"):
+            seen.append(token[0])
+    pieces.append((text[start:], "".join([*seen, text[at:]])))
+    return [piece.strip() for piece, code in pieces if code.strip()]
 
 
 def statement_list(statements: str | Sequence[str]) -> list[Statement]:

@@ -5,6 +5,7 @@ Data never passes through these functions, only names, sizes and commit records.
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
@@ -87,15 +88,22 @@ def touch(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Publish a small text under a new name: written aside, then moved into place."""
-    aside = f"{path}.tmp"
+    """Publish a small text under a new name: written aside, then moved into place.
+
+    Raises ``FileExistsError`` if the name is taken.
+    """
+    aside = f"{path}.{uuid.uuid4().hex}.tmp"
     fs, jaside = _open(spark, aside)
     stream = fs.create(jaside, True)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    rename(spark, aside, path)
+    try:
+        rename(spark, aside, path)
+    except FileExistsError:
+        delete(spark, aside)
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,11 +26,14 @@ def replicate_stream(
 ) -> StreamingQuery:
     """Apply every micro-batch to ``replica``.
 
-    ``insert_missing`` adds the rows whose key the replica does not have.  ``upsert``
-    adds rows with a new key or a later ``modified`` version and replaces the older
-    ones, in whichever order they arrive.  The batch number is part of each commit, so
-    a batch that Spark runs again after a failure is applied once; a full replay with
-    a new checkpoint adds nothing either, because its keys are there.
+    ``upsert`` keeps the greatest row of each key: the latest ``modified`` version, and
+    among equal ones the greatest by the other columns in their order.  So the table is
+    the same however the stream is cut into batches and in whichever order rows arrive.
+    ``insert_missing`` adds the rows whose key the replica does not have, of a key that
+    a batch holds several times the greatest; what is there first stays.  The batch
+    number is part of each commit, so a batch that Spark runs again after a failure is
+    applied once; a full replay with a new checkpoint adds nothing either, because its
+    keys are there.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -44,11 +47,13 @@ def replicate_stream(
         batch = batch.persist()
         try:
             if mode == "insert_missing":
-                replica.publish(missing_rows(batch, replica.read(), key), None, (position, number))
+                one = greatest_rows(batch, key)
+                replica.publish(missing_rows(one, replica.read(), key), None, (position, number))
             else:
                 newer = newer_rows(batch, replica.read(), key, modified)
                 older = newer.where(F.col(REPLACES)).select(key)
                 replica.publish(newer, lambda _: older, (position, number))
+            replica.tidy()
         finally:
             batch.unpersist()
 
@@ -56,27 +61,32 @@ def replicate_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _order(columns: list[str], key: str, modified: str | None) -> Column:
+    """A total order of the rows of a key; a missing version is before all others."""
+    rest = [c for c in columns if c not in (key, modified)]
+    return F.struct(*([modified] if modified else []), *rest)
+
+
+def greatest_rows(batch: DataFrame, key: str, modified: str | None = None) -> DataFrame:
+    """Per key the greatest row of ``batch``; rows without a key are all kept."""
+    keyed = batch.where(F.col(key).isNotNull())
+    greatest = keyed.groupBy(key).agg(F.max(_order(batch.columns, key, modified)).alias("row"))
+    one = greatest.select(*[key if c == key else F.col("row")[c].alias(c) for c in batch.columns])
+    return one.unionByName(batch.where(F.col(key).isNull()))
+
+
 def newer_rows(batch: DataFrame, target: DataFrame, key: str, modified: str) -> DataFrame:
-    """Per key the latest row of ``batch``, if it is later than what ``target`` has;
+    """The rows of ``batch`` that are the greatest of their key and greater than what ``target`` has;
     ``__replaces`` tells whether ``target`` has that key.
 
-    Rows without a key are all kept.  A row without a version loses against any other.
+    Rows without a key are all kept.
     """
-    keyed = batch.where(F.col(key).isNotNull())
-    latest = (
-        keyed.groupBy(key)
-        .agg(F.max_by(F.struct(*batch.columns), F.coalesce(modified, F.lit(-1))).alias("row"))
-        .select("row.*")
-    )
-    keys = keyed.select(key)
-    span = key_span(keys)
-    present = cut_to_keys(target.select(key, modified), keys, key, span)
-    present = present.groupBy(key).agg(F.coalesce(F.max(modified), F.lit(-1)).alias("__there"))
-    if span.small:
-        present = F.broadcast(present)
-    newer = (
-        latest.join(present, key, "left")
-        .where(F.col("__there").isNull() | (F.coalesce(modified, F.lit(-1)) > F.col("__there")))
-        .select(*batch.columns, F.col("__there").isNotNull().alias(REPLACES))
-    )
-    return newer.unionByName(batch.where(F.col(key).isNull()).withColumn(REPLACES, F.lit(False)))
+    types = {f.name: f.dataType for f in target.schema.fields}
+    batch = batch.select(*[F.col(c).cast(types[c]).alias(c) if c in types else c for c in batch.columns])
+    keys = batch.select(key).where(F.col(key).isNotNull())
+    there = cut_to_keys(target.select(*batch.columns), keys, key, key_span(keys))
+    there = there.groupBy(key).agg(F.max(_order(batch.columns, key, modified)).alias("__there"))
+    latest = greatest_rows(batch, key, modified)
+    later = F.col("__there").isNull() | (_order(batch.columns, key, modified) > F.col("__there"))
+    newer = latest.join(there, key, "left").where(later)
+    return newer.select(*batch.columns, F.col("__there").isNotNull().alias(REPLACES))

@@ -141,3 +141,19 @@ def test_a_hot_value_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert result.n_records == 30000
     assert len(list((tmp_path / "r").glob("*/__route=vhot/*.parquet"))) > 1
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        (r"select 'it\'s; x' a; select 2", [r"select 'it\'s; x' a", "select 2"]),
+        ("select 1 -- a; b\n; select 2", ["select 1 -- a; b", "select 2"]),
+        ("select 1 -- don't ;\n; select 2 -- can't", ["select 1 -- don't ;", "select 2 -- can't"]),
+        ("/* ; /* ; */ ' */ select ';' ; ; select `a;b`", ["/* ; /* ; */ ' */ select ';'", "select `a;b`"]),
+        ("select r'\\'; select 'x;'", ["select r'\\'", "select 'x;'"]),
+        ("-- nothing; here\n/* ; */", []),
+        ("select 'it''s; x'; select 2", ["select 'it''s; x'", "select 2"]),
+    ],
+)
+def test_statements_are_split_outside_quotes_and_comments(text, expected):
+    assert split_statements(text) == expected

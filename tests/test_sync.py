@@ -213,7 +213,7 @@ def test_compact_keeps_the_rows(spark):
     before = rows(replica.read())
     replica.compact()
     assert rows(replica.read()) == before == [(1, "a3", 1, 3), (2, "b", 1, 1), (3, "c", 2, 3)]
-    assert [e.name for e in storage.list_dir(spark, f"{replica.path}/rows")] == ["__seg=4"]
+    assert [s.number for s in replica.state().segments] == [4]
     sync_replica(replica, frame(spark, (2, "b2", 1, 4)), RULE)
     assert rows(replica.read()) == [(1, "a3", 1, 3), (2, "b2", 1, 4), (3, "c", 2, 3)]
     replica.drop()
@@ -236,6 +236,107 @@ def test_mark_of_a_replica_prunes_and_stays_exact(spark):
     assert replica.read().where("k = 7").count() == 1
 
 
+def attempts(spark, replica, number):
+    folder = f"{replica.path}/rows/__seg={number}"
+    return [e.name for e in storage.list_dir(spark, folder)] if storage.exists(spark, folder) else []
+
+
+@pytest.mark.parametrize("change", ["publish", "compact"])
+def test_a_failure_after_the_commit_keeps_the_rows(spark, monkeypatch, change):
+    monkeypatch.setattr(segments, "KEPT_RECORDS", 1)
+    source = frame(spark, (1, "a", 1, 1), (2, "b", 1, 1))
+    replica = replica_of(spark, source, source)
+    delete = storage.delete
+
+    def failing(spark, path):
+        if "_commits" in path:
+            raise OSError("the store is away")
+        delete(spark, path)
+
+    monkeypatch.setattr(storage, "delete", failing)
+    if change == "publish":
+        replica.publish(frame(spark, (3, "c", 2, 2)))
+    else:
+        replica.compact()
+    monkeypatch.setattr(storage, "delete", delete)
+    expected = [(1, "a", 1, 1), (2, "b", 1, 1)] + ([(3, "c", 2, 2)] if change == "publish" else [])
+    assert rows(replica.read()) == expected and replica.state().version == 2
+
+
+@pytest.mark.parametrize("change", ["publish", "compact"])
+def test_an_interrupt_right_after_the_commit_keeps_the_rows(spark, monkeypatch, change):
+    source = frame(spark, (1, "a", 1, 1))
+    replica = replica_of(spark, source, source)
+    write = storage.write_text
+
+    def interrupted(*args):
+        write(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(storage, "write_text", interrupted)
+    with pytest.raises(KeyboardInterrupt):
+        replica.publish(frame(spark, (3, "c", 2, 2))) if change == "publish" else replica.compact()
+    monkeypatch.setattr(storage, "write_text", write)
+    assert replica.state().version == 2
+    assert rows(replica.read()) == [(1, "a", 1, 1)] + ([(3, "c", 2, 2)] if change == "publish" else [])
+
+
+def test_a_second_writer_fails_and_takes_nothing_away(spark, monkeypatch):
+    source = frame(spark, (1, "a", 1, 1))
+    first = replica_of(spark, source, source)
+    late = segments.SegmentedTable(spark, first.path)
+    stale = late.state()
+    first.publish(frame(spark, (2, "b", 2, 2)))
+    before = rows(first.read())
+    monkeypatch.setattr(late, "state", lambda: stale)
+    with pytest.raises(FileExistsError):
+        late.publish(frame(spark, (9, "z", 9, 9)))
+    with pytest.raises(FileExistsError):
+        late.compact()
+    assert rows(first.read()) == before == [(1, "a", 1, 1), (2, "b", 2, 2)]
+    assert len(attempts(spark, first, 2)) == 1
+
+
+def test_reads_planned_before_a_compaction_still_run(spark):
+    source = frame(spark, (1, "a", 1, 1), (2, "b", 1, 1))
+    replica = replica_of(spark, source, source)
+    sync_replica(replica, frame(spark, (1, "a2", 1, 2)), RULE)
+    planned = replica.read()
+    replica.compact()
+    assert rows(planned) == rows(replica.read()) == [(1, "a2", 1, 2), (2, "b", 1, 1)]
+    sync_replica(replica, frame(spark, (2, "b2", 1, 3)), RULE)
+    replica.compact()
+    assert rows(replica.read()) == [(1, "a2", 1, 2), (2, "b2", 1, 3)]
+
+
+def test_segments_stay_few_and_reading_starts_no_job(spark):
+    source = frame(spark, *[(k, "a", 1, 1) for k in range(200)])
+    replica = replica_of(spark, source, source)
+    for version in range(2, 26):
+        sync_replica(replica, frame(spark, (7, f"v{version}", 1, version)), RULE)
+    assert len(replica.state().segments) <= segments.FEW_SEGMENTS
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    live = replica.read()
+    assert len(tracker.getJobIdsForGroup()) == before
+    assert live.count() == 200 and live.where("k = 7").collect() == [(7, "v25", 1, 25)]
+    assert replica.state().segments[0].n_rows == 200
+
+
+def test_text_partitions_keep_empty_and_null_apart(spark):
+    source = frame(spark, (1, "", 1, 1), (2, None, 1, 1), (3, "x=y/z", 1, 1), (4, "__HIVE_DEFAULT_PARTITION__", 1, 1))
+    replica = create_replica(spark, scratch_path(spark, "test"), source, RULE, partition_by=["v"])
+    sync_replica(replica, source, RULE)
+    assert replica.read().columns == source.columns
+    assert rows(replica.read()) == rows(source)
+    plan = replica.read().where("v = ''")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "__v_v" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert replica.read().where("v = ''").collect() == [(1, "", 1, 1)]
+    assert replica.read().where("v IS NULL").collect() == [(2, None, 1, 1)]
+    sync_replica(replica, frame(spark, (1, "moved", 1, 2)), RULE)
+    assert rows(replica.read().where("k = 1")) == [(1, "moved", 1, 2)]
+
+
 def test_failed_publish_changes_nothing(spark):
     source = frame(spark, (1, "a", 1, 1))
     replica = replica_of(spark, source, source)
@@ -245,7 +346,7 @@ def test_failed_publish_changes_nothing(spark):
     with pytest.raises(ZeroDivisionError):
         replica.publish(source, lambda rows: 1 // 0)
     assert rows(replica.read()) == [(1, "a", 1, 1)]
-    assert [e.name for e in storage.list_dir(spark, f"{replica.path}/rows")] == ["__seg=1"]
+    assert attempts(spark, replica, 2) == []
     replica.publish(source)
     assert replica.read().count() == 2
 
@@ -332,3 +433,20 @@ def test_scalars(spark):
     ).first()
     assert tuple(row) == ("007", "1234", "a.b", "20200102030405", "12")
     assert len(scalars.time_stamp_now()) == 14
+
+
+@pytest.mark.parametrize("files, backwards", [(1, False), (3, True), (20, False)])
+def test_a_stream_gives_one_table_however_it_is_cut(spark, files, backwards):
+    """Ties in the version, missing versions and repeated rows, in either order."""
+    changes = [(k % 5, f"v{k * 7 % 11}", k % 3, [None, 2, 2, 5, -4][k * 3 % 5]) for k in range(40)]
+    changes += [(8, "low", 1, -9), (8, "none", 1, None), (9, "a", 1, 5), (9, "b", 2, 5), (9, "b", 2, 5)]
+    expected = {}
+    for row in changes:
+        order = (row[3] is not None, row[3] or 0, row[1], row[2])
+        if row[0] not in expected or order > expected[row[0]][0]:
+            expected[row[0]] = order, row
+    source = stream_files(spark, [frame(spark, row) for row in (changes[::-1] if backwards else changes)])
+    replica = create_replica(spark, scratch_path(spark, "test"), frame(spark), RULE)
+    stream = spark.readStream.schema(frame(spark).schema).option("maxFilesPerTrigger", files).parquet(source)
+    replicate_stream(stream, replica, "k", scratch_path(spark, "checkpoint"), "upsert", "mv").awaitTermination()
+    assert rows(replica.read()) == sorted((row for _, row in expected.values()), key=repr)
