@@ -55,6 +55,11 @@ def typed_source(spark: SparkSession, folder: str) -> DataFrame:
         F.to_date(shipped).alias("ShipDay"),
         F.col("l_quantity").alias("Qty"),
         F.array(flag).alias("Tags"),
+        # Half a unit of the last place that is kept, with either sign.
+        F.concat((2 * F.col("l_linenumber") - 9).cast("string"), F.lit("." + "0" * 30 + "5"))
+        .cast("decimal(38,31)")
+        .alias("Wide"),
+        flag.cast("binary").alias("Raw"),
     )
 
 

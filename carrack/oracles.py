@@ -27,7 +27,8 @@ kept AS (
 _TYPED = """
 SELECT l_orderkey AS "OrderKey", CAST(l_linenumber AS BIGINT) AS "LineNo",
        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS "Price", l_returnflag AS "Flag",
-       l_linestatus = 'O' AS "IsOpen", l_shipdate AS "Shipped", CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS "ShipDay"
+       l_linestatus = 'O' AS "IsOpen", l_shipdate AS "Shipped", CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS "ShipDay",
+       (2 * l_linenumber - 9) || '.' || repeat('0', 29) || '1' AS "Wide", hex(l_returnflag) AS "Raw"
 """
 
 _SHARDS = """
@@ -68,6 +69,8 @@ def _statement_counts() -> str:
             f"SELECT 'BCP_{number:02d}' AS \"BCPPackage\", (SELECT count(*) FROM ({text}) AS s) AS \"NumRecords\", "
             f"false AS \"HasError\", '{quoted}' AS \"SQLStatement\", '' AS \"ProcessingError\""
         )
+    failing = "SELECT c_custkey, c_name, CAST(raise_error(''bad row'') AS INT) FROM customer"
+    rows.append(f"SELECT 'BCP_{len(STATEMENTS) + 1:02d}', 0, true, '{failing}', 'failed'")
     return " UNION ALL ".join(rows)
 
 
@@ -102,6 +105,8 @@ UNION ALL
 SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.o_orderkey = src.o_orderkey)""",
     "staged_publish": _VERSIONS + "SELECT * FROM kept UNION ALL SELECT * FROM delta",
     "typed_projection": _TYPED + "FROM lineitem",
+    "typed_default": _TYPED.replace('l_shipdate AS "Shipped"', 'CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS "Shipped"')
+    + ', l_quantity AS "Qty" FROM lineitem',
     "sync_schema": _TYPED + ', CAST(year(l_shipdate) AS INTEGER) AS "ShipYear" FROM lineitem',
     "statement_union": _statements(),
     "statement_report": _statement_counts(),
@@ -116,7 +121,9 @@ SELECT c_custkey, c_name, c_nationkey FROM customer""",
 SELECT 'BCP lineitem_copy : l_returnflag = ' || l_returnflag AS "BCPPackage", count(*) AS "NumRecords",
        false AS "HasError", 'l_returnflag' AS "BCPSplitOnValueOfField", l_returnflag AS "BCPSplitOnValue",
        '' AS "ProcessingError"
-FROM lineitem GROUP BY l_returnflag""",
+FROM lineitem GROUP BY l_returnflag
+UNION ALL SELECT 'BCP lineitem_copy : BCP_02', 0, true, 'l_returnflag', '', 'failed'
+UNION ALL SELECT 'BCP lineitem_copy : BCP_03', 0, true, 'l_returnflag', '', 'failed'""",
     "shard_scan": _SHARDS + "SELECT file_name, line FROM physical",
     "shard_skip": _SHARDS
     + """
@@ -134,7 +141,10 @@ SELECT 'merged_' || output || '.csv' AS file_name, 0 AS line_no, 'SourceSystem,'
 FROM header, (VALUES (1), (2), (3), (4)) AS outputs(output)
 UNION ALL
 SELECT 'merged_' || (n % 4 + 1) || '.csv', CAST(n // 4 + 1 AS BIGINT), tag || ',' || line FROM filled""",
-    "encrypt_roundtrip": "SELECT c_custkey, c_name FROM customer",
+    "encrypt_roundtrip": """
+SELECT c_custkey, c_name, CAST(16 + (strlen(c_name) // 16 + 1) * 16 AS INTEGER) AS sealed_bytes,
+       CAST((strlen(c_name) // 16 + 1) * 16 AS INTEGER) AS bare_bytes, true AS hidden
+FROM customer""",
     "stream_sync": "SELECT * FROM events",
     "stream_upsert": _VERSIONS
     + """

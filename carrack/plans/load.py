@@ -4,19 +4,26 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.mapping import find_column, map_by_position
+from ..session import scratch_path
 from ..sinks.routed import ROUTE, route_of, split_value, write_load
 from ..sinks.tables import destination_schema
 from ..sources.statements import Statement, statement_list
 
+#: Statements that run side by side; each is a distributed job.
+STATEMENTS_AT_ONCE = 8
+
+# The columns of the reports.
 STATEMENT_REPORT = T.StructType(
     [
         T.StructField("BCPPackage", T.StringType()),
@@ -27,6 +34,17 @@ STATEMENT_REPORT = T.StructType(
     ]
 )
 
+SPLIT_REPORT = T.StructType(
+    [
+        T.StructField("BCPPackage", T.StringType()),
+        T.StructField("NumRecords", T.LongType()),
+        T.StructField("HasError", T.BooleanType()),
+        T.StructField("BCPSplitOnValueOfField", T.StringType()),
+        T.StructField("BCPSplitOnValue", T.StringType()),
+        T.StructField("ProcessingError", T.StringType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -56,41 +74,32 @@ def load_statements(
 ) -> LoadResult:
     """Append the rows of every statement to ``table`` and report per statement.
 
-    All statements that can be planned are branches of one job with one commit, each
-    counting its own rows as they are written.  With ``on_error="report"`` a failing
-    statement only shows in its row of the report: if that one job fails, nothing of
-    it is kept and the statements are appended one at a time instead.
+    With ``on_error="raise"`` all statements are branches of one job.  With ``"report"``
+    a failing one only shows in its row of the report: the statements run side by side,
+    each into a table of its own in the shared folder, and those that end well are
+    appended in one job with one commit.  Nothing is worked out twice.
     """
     if on_error not in ("report", "raise"):
         raise ValueError("on_error must be 'report' or 'raise'")
     started = time.monotonic()
     schema = destination_schema(spark, table)
     todo = statement_list(statements)
-    planned: list[tuple[Statement, DataFrame]] = []
     errors: dict[str, str] = {}
-    counts: dict[str, int] = {}
-    for statement in todo:
-        try:
-            planned.append((statement, map_by_position(spark.sql(statement.sql), schema, read_only, generated)))
-        except Exception as error:
-            if on_error == "raise":
-                raise
-            errors[statement.package] = str(error)
-
-    if planned:
-        try:
-            counts.update(_append(planned, table))
-        except Exception as error:
-            if on_error == "raise":
-                raise
-            if len(planned) == 1:
-                errors[planned[0][0].package] = str(error)
-            else:
-                for one in planned:
-                    try:
-                        counts.update(_append([one], table))
-                    except Exception as single:
-                        errors[one[0].package] = str(single)
+    if on_error == "raise":
+        planned = [(s, map_by_position(spark.sql(s.sql), schema, read_only, generated)) for s in todo]
+        counts = _append(planned, table)
+    else:
+
+        def settle(statement: Statement) -> tuple[DataFrame, int]:
+            rows = map_by_position(spark.sql(statement.sql), schema, read_only, generated)
+            path, seen = scratch_path(spark, "statement"), Observation()
+            rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+            return spark.read.schema(rows.schema).parquet(path), seen.get["n"]
+
+        settled = _side_by_side(spark, todo, settle, errors)
+        counts = {package: n for package, (_, n) in settled.items()}
+        if settled:
+            reduce(DataFrame.union, [df for df, _ in settled.values()]).write.insertInto(table)
 
     rows = [
         (s.package, counts.get(s.package, 0), s.package in errors, s.sql, errors.get(s.package, "")) for s in todo
@@ -99,6 +108,22 @@ def load_statements(
     return LoadResult(report, sum(counts.values()), time.monotonic() - started)
 
 
+def _side_by_side(spark: SparkSession, todo: list[Statement], work: Callable, errors: dict[str, str]) -> dict:
+    """The results of ``work`` by package, in the order of the statements; what fails goes to ``errors``."""
+    with ThreadPoolExecutor(min(STATEMENTS_AT_ONCE, len(todo))) as pool:
+        running = {s.package: pool.submit(inheritable_thread_target(spark)(work), s) for s in todo}
+    done = {}
+    for package, one in running.items():
+        error = one.exception()
+        if error is None:
+            done[package] = one.result()
+        elif isinstance(error, Exception):
+            errors[package] = str(error)
+        else:
+            raise error
+    return done
+
+
 def _append(planned: list[tuple[Statement, DataFrame]], table: str) -> dict[str, int]:
     """One job.  The counts are taken in its last stage, where Spark counts each task once."""
     seen = {statement.package: Observation() for statement, _ in planned}
@@ -118,29 +143,52 @@ def load_routed(
     load_id: str | None = None,
     max_splits: int | None = None,
     label: str | None = None,
+    on_error: str = "raise",
 ) -> LoadResult:
     """Load all statements into the routed table at ``path``, one part per value of ``split``.
 
     The split column is found by name in every statement and need not be among the
     mapped columns.  ``max_splits`` refuses a load with more distinct values.  The
-    report is counted on what was written, from the file footers.
+    report is counted on what was written, from the file footers.  With
+    ``on_error="report"`` each statement is a load of its own, side by side with the
+    others; one that fails is a row of the report with its error.
     """
+    if on_error not in ("report", "raise"):
+        raise ValueError("on_error must be 'report' or 'raise'")
+    if on_error == "report" and max_splits is not None:
+        raise ValueError("max_splits is checked over all statements, so it needs on_error='raise'")
     started = time.monotonic()
-    branches = []
-    for statement in statement_list(statements):
+    load_id, label = load_id or uuid.uuid4().hex, label or path
+
+    def routed(statement: Statement) -> DataFrame:
         df = spark.sql(statement.sql)
         by = F.col("`" + find_column(df, split).replace("`", "``") + "`")
-        branches.append(map_by_position(df, schema, read_only, generated, {ROUTE: route_of(by)}))
-    rows = reduce(DataFrame.union, branches)
+        return map_by_position(df, schema, read_only, generated, {ROUTE: route_of(by)})
+
+    todo = statement_list(statements)
+    if on_error == "report":
+        errors: dict[str, str] = {}
+        loads = _side_by_side(
+            spark, todo, lambda s: write_load(spark, routed(s), path, f"{load_id}-{s.package}"), errors
+        )
+        failed = [(f"BCP {label} : {name}", 0, True, split, "", error) for name, error in errors.items()]
+        report = spark.createDataFrame(failed, SPLIT_REPORT)
+        if loads:
+            report = split_report(reduce(DataFrame.union, loads.values()), split, label).union(report)
+        return LoadResult(report, _total(report), time.monotonic() - started)
+
+    rows = reduce(DataFrame.union, [routed(s) for s in todo])
     if max_splits is not None:
         n_splits = rows.select(ROUTE).distinct().limit(max_splits + 1).count()
         if n_splits > max_splits:
             raise ValueError(f"{split} has more than {max_splits} distinct values")
 
-    written = write_load(spark, rows, path, load_id or uuid.uuid4().hex)
-    report = split_report(written, split, label or path)
-    total = report.agg(F.coalesce(F.sum("NumRecords"), F.lit(0)).alias("n")).first()["n"]
-    return LoadResult(report, total, time.monotonic() - started)
+    report = split_report(write_load(spark, rows, path, load_id), split, label)
+    return LoadResult(report, _total(report), time.monotonic() - started)
+
+
+def _total(report: DataFrame) -> int:
+    return report.agg(F.coalesce(F.sum("NumRecords"), F.lit(0)).alias("n")).first()["n"]
 
 
 def split_report(written: DataFrame, split: str, label: str) -> DataFrame:

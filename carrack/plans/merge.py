@@ -81,7 +81,7 @@ def merge_shards(
     field_pattern: str | None = None,
     field_delimiter: str | None = None,
     has_header: bool = True,
-    layout: str = "files",
+    layout: str = "parts",
     rows_per_part: int = ROWS_PER_PART,
     line_sep: str = "\n",
 ) -> MergeResult:

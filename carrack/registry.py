@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +102,12 @@ def typed(spark: SparkSession, folder: str) -> DataFrame:
     return _exact_text(typed_projection(fixtures.typed_source(spark, folder), strict=True))
 
 
+def typed_default(spark: SparkSession, folder: str) -> DataFrame:
+    """The open list of types, with datetimes as dates."""
+    df = _exact_text(typed_projection(fixtures.typed_source(spark, folder), datetime_as_date=True))
+    return df.withColumn("Shipped", F.col("Shipped").cast("string"))
+
+
 def sync_schema(spark: SparkSession, folder: str) -> DataFrame:
     """A replica with a derived partition column, clustered by key, filled and read back."""
     source = fixtures.typed_source(spark, folder)
@@ -117,8 +124,9 @@ def sync_schema(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _exact_text(df: DataFrame) -> DataFrame:
-    """Decimals and dates as text, so that a comparison sees every digit."""
-    return df.withColumns({name: F.col(name).cast("string") for name in ("Price", "ShipDay")})
+    """Decimals, dates and binary as text, so that a comparison sees every digit."""
+    exact = {name: F.col(name).cast("string") for name in ("Price", "ShipDay", "Wide")}
+    return df.withColumns(exact | {"Raw": F.hex("Raw")})
 
 
 # Bulk loads
@@ -133,7 +141,8 @@ def statement_report(spark: SparkSession, folder: str) -> DataFrame:
     parquet_table(spark, folder, "customer").createOrReplaceTempView("customer")
     table, _ = _new_table(spark, "c_custkey BIGINT, c_name STRING, c_nationkey INT")
     try:
-        return load.load_statements(spark, STATEMENTS, table).report
+        failing = "SELECT c_custkey, c_name, CAST(raise_error('bad row') AS INT) FROM customer"
+        return _errors_as_flags(load.load_statements(spark, [*STATEMENTS, failing], table).report)
     finally:
         spark.sql(f"DROP TABLE {table}")
 
@@ -172,7 +181,25 @@ def split_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_load_report(spark: SparkSession, folder: str) -> DataFrame:
-    return _split_load(spark, folder)[1].report
+    """One statement fails while it runs and one while it is planned; the text of an error is not compared."""
+    parquet_table(spark, folder, "lineitem").createOrReplaceTempView("lineitem")
+    running = ROUTED_SQL.replace("l_returnflag", "CAST(raise_error('bad row') AS STRING) AS l_returnflag")
+    statements = [ROUTED_SQL, running, "SELECT nothing FROM lineitem"]
+    result = load.load_routed(
+        spark,
+        statements,
+        ROUTED_SCHEMA,
+        scratch_path(spark, "routed"),
+        "l_returnflag",
+        label="lineitem_copy",
+        on_error="report",
+    )
+    return _errors_as_flags(result.report)
+
+
+def _errors_as_flags(report: DataFrame) -> DataFrame:
+    shown = F.when(F.col("ProcessingError") != "", "failed").otherwise("")
+    return report.withColumn("ProcessingError", shown)
 
 
 # Text shards
@@ -197,12 +224,16 @@ def round_robin_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shard_outputs(spark: SparkSession, folder: str) -> DataFrame:
-    """Four files written and read back, line by line."""
+    """Four outputs of ordered parts, written and read back line by line."""
     output = scratch_path(spark, "outputs")
     shards = fixtures.text_shards(spark, folder)
-    merge.merge_shards(spark, shards, f"{output}/merged.csv", 0, 1, "auto", 4, *FIELD)
-    written = number_lines(spark, list_shards(spark, output, "txt"), scratch_path(spark, "lines"))
-    return written.lines.select("file_name", "line_no", "line")
+    result = merge.merge_shards(spark, shards, f"{output}/merged.csv", 0, 1, "auto", 4, *FIELD, layout="parts")
+    written = []
+    for path in result.paths:
+        lines = number_lines(spark, list_shards(spark, path, "txt"), scratch_path(spark, "lines")).lines
+        name = F.lit(path.rsplit("/", 1)[1]).alias("file_name")
+        written.append(lines.select(name, F.col("ordinal").alias("line_no"), "line"))
+    return reduce(DataFrame.union, written)
 
 
 def _numbered(spark: SparkSession, folder: str, skip_first: int, skip_others: int):
@@ -252,7 +283,15 @@ def encrypt_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     sealed = parquet_table(spark, folder, "customer").select(
         "c_custkey", cipher.encrypt(F.col("c_name"), key).alias("sealed")
     )
-    return sealed.select("c_custkey", cipher.decrypt(F.col("sealed"), key).alias("c_name"))
+    iv = bytes(range(16, 32))
+    bare = cipher.encrypt(cipher.decrypt(F.col("sealed"), key), key, iv)
+    return sealed.select(
+        "c_custkey",
+        cipher.decrypt(bare, key, iv).alias("c_name"),
+        F.octet_length("sealed").alias("sealed_bytes"),
+        F.octet_length(bare).alias("bare_bytes"),
+        (F.instr(F.hex("sealed"), F.hex(cipher.decrypt(F.col("sealed"), key))) == 0).alias("hidden"),
+    )
 
 
 def scalar_fields(spark: SparkSession, folder: str) -> DataFrame:
@@ -291,6 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_missing": insert_missing,
     "staged_publish": staged_publish,
     "typed_projection": typed,
+    "typed_default": typed_default,
     "sync_schema": sync_schema,
     "statement_union": statement_union,
     "statement_report": statement_report,

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import storage
 
+#: Parts that a store is asked to join in one call.
+JOINED_AT_ONCE = 1000
+
 
 def output_paths(path: str, n_outputs: int) -> list[str]:
     """``path`` itself for one output, else ``name_01.ext``, … padded to the width of the count."""
@@ -53,7 +56,7 @@ def write_outputs(
             storage.touch(spark, path)
         else:
             first, *others = [f"{written}/{part}" for part in parts]
-            if others:
-                storage.concat(spark, first, others)
+            for at in range(0, len(others), JOINED_AT_ONCE):
+                storage.concat(spark, first, others[at : at + JOINED_AT_ONCE])
             storage.make_dir(spark, posixpath.dirname(path) or ".")
             storage.rename(spark, first, path)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carrack.functions import cipher
 from carrack.operators.mapping import find_column, map_by_position
 from carrack.plans.load import load_routed, load_statements, union_statements
 from carrack.sinks.routed import read_routed
@@ -157,3 +158,20 @@ def test_a_hot_value_is_written_by_several_tasks(spark, tmp_path):
 )
 def test_statements_are_split_outside_quotes_and_comments(text, expected):
     assert split_statements(text) == expected
+
+
+def test_cipher_by_a_published_vector(spark):
+    """AES-256 in CBC mode, NIST SP 800-38A F.2.5; the padding adds a block."""
+    key = bytes.fromhex("603deb1015ca71be2b73aef0857d77811f352c073b6108d72d9810a30914dff4")
+    iv = bytes(range(16))
+    plain = bytes.fromhex("6bc1bee22e409f96e93d7e117393172aae2d8a571e03ac9c9eb76fac45af8e51")
+    expected = "f58c4c04d6e5f1ba779eabfb5f7bfbd69cfc4e967edb808d679f777bc6702c7d"
+    one = spark.createDataFrame([(plain, "text"), (None, None)], "raw binary, text string")
+    sealed = one.select(
+        F.lower(F.hex(cipher.encrypt(F.col("raw"), key, iv))).alias("bare"),
+        cipher.decrypt(cipher.encrypt(F.col("text"), key, iv), key, iv).alias("text"),
+    ).collect()
+    assert sealed[0]["bare"].startswith(expected) and len(sealed[0]["bare"]) == len(expected) + 32
+    assert sealed[0]["text"] == "text" and tuple(sealed[1]) == (None, None)
+    with pytest.raises(ValueError):
+        cipher.encrypt(F.col("text"), key, b"short")

@@ -3,9 +3,12 @@
 import bz2
 import codecs
 import gzip
+import inspect
 import itertools
+import os
 import re
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -13,7 +16,9 @@ from hypothesis import strategies as st
 from carrack import fixtures, storage
 from carrack.operators import numbering
 from carrack.operators.numbering import number_lines
+from carrack.oracles import ORACLES
 from carrack.plans.merge import merge_shards
+from carrack.sinks import files
 from carrack.session import scratch_path
 from carrack.sources.shards import list_shards, scan_shards
 
@@ -58,7 +63,14 @@ def expected(shards, skip_first, skip_others, n, field=None, has_header=True):
 
 
 def read(paths):
-    return [open(path, encoding="utf-8", newline="").read().split("\n")[:-1] for path in paths]
+    """Lines of each output: a file, or a folder of ordered part files."""
+
+    def text(path):
+        if os.path.isdir(path):
+            return "".join(text(f"{path}/{name}") for name in sorted(os.listdir(path)) if name.startswith("part-"))
+        return open(path, encoding="utf-8", newline="").read()
+
+    return [text(path).split("\n")[:-1] for path in paths]
 
 
 SHARDS = {
@@ -73,7 +85,8 @@ FIELD = ("Src", r"(?<=sys_src_)\w{4}", "|")
 @pytest.mark.parametrize("n", [1, 4])
 def test_skip_and_round_robin(spark, tmp_path, skips, n):
     folder = write(tmp_path / "in", SHARDS)
-    result = merge_shards(spark, folder, str(tmp_path / "out" / "m.csv"), *skips, n_outputs=n)
+    layout = "files" if skips == (0, 1) else "parts"
+    result = merge_shards(spark, folder, str(tmp_path / "out" / "m.csv"), *skips, n_outputs=n, layout=layout)
     assert read(result.paths) == expected(SHARDS, *skips, n)
 
 
@@ -127,8 +140,6 @@ def test_parts_hold_the_same_lines_in_order(spark, tmp_path):
     result = merge_shards(
         spark, folder, str(tmp_path / "m.csv"), 0, 1, n_outputs=2, layout="parts", rows_per_part=10
     )
-    import os
-
     merged = []
     for path in result.paths:
         parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
@@ -147,8 +158,13 @@ def test_files_are_joined_where_the_store_can(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "concat", join)
     shards = {f"{c}.txt": "h\n" + "".join(f"{c}{i}\n" for i in range(50)) for c in "abc"}
     folder = write(tmp_path / "in", shards)
-    result = merge_shards(spark, folder, str(tmp_path / "m.csv"), 0, 1, n_outputs=2, rows_per_part=10)
+    calls = []
+    monkeypatch.setattr(files, "JOINED_AT_ONCE", 3)
+    monkeypatch.setattr(storage, "concat", lambda *args: (calls.append(len(args[2])), join(*args)))
+    output = str(tmp_path / "m.csv")
+    result = merge_shards(spark, folder, output, 0, 1, n_outputs=2, rows_per_part=10, layout="files")
     assert read(result.paths) == expected(shards, 0, 1, 2)
+    assert all(os.path.isfile(path) for path in result.paths) and max(calls) == 3
 
 
 def test_all_shards_empty(spark, tmp_path):
@@ -257,3 +273,13 @@ def test_refused_input(spark, tmp_path):
         list_shards(spark, write(tmp_path / "hidden", {"a.txt": "1\n", "_b.txt": "2\n"}))
     with pytest.raises(ValueError):
         list_shards(spark, write(tmp_path / "mixed", {"a.txt": "1\n", "b.gz": "2\n"}), "txt")
+
+
+def test_names_of_many_pieces_sort_as_their_numbers():
+    names = [f"cust_0_{piece:09d}_plain.csv" for piece in (999, 1000, 12345)]
+    assert names == sorted(names)
+    sql = duckdb.sql("SELECT 'cust_0_' || lpad(CAST(p AS VARCHAR), 9, '0') || '_plain.csv' FROM (VALUES (999), (1000), (12345)) v(p)")
+    assert sorted(r[0] for r in sql.fetchall()) == names
+    assert "{piece:09d}" in inspect.getsource(fixtures.text_shards) and "VARCHAR), 9, '0')" in ORACLES["shard_scan"]
+    padded = "SELECT lpad(CAST(k AS VARCHAR), greatest(8, length(CAST(k AS VARCHAR)))::INTEGER, '0') FROM (VALUES (123456789), (5)) v(k)"
+    assert [r[0] for r in duckdb.sql(padded).fetchall()] == ["123456789", "00000005"]
