@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from carrack.llm import langid, lines, packing, pieces, simhash, substrings, syncmers
+from carrack.llm import bloom, langid, lines, packing, pieces, simhash, substrings, syncmers
 
 import brute
 
@@ -46,6 +46,25 @@ def test_line_dedup_with_a_full_filter(spark, docs, rows):
     assert ordered(map(tuple, got.collect())) == ordered(brute.line_dedup(rows))
 
 
+@pytest.mark.parametrize("sparse_bits", [0, 50, 1 << 20])
+def test_the_filter_holds_what_two_rows_share(spark, sparse_bits):
+    rng = np.random.default_rng(6)
+    own = [rng.integers(1, 1 << 62, size=40) for _ in range(12)]
+    shared = rng.integers(1, 1 << 62, size=30)
+    data = [([int(x) for x in own[n]] + [int(x) for x in shared[n::6]] * 2,) for n in range(6)]
+    data += [([int(x) for x in own[n]] + [int(x) for x in shared[n - 6 :: 6]],) for n in range(6, 12)]
+    frame = spark.createDataFrame(data, "keys array<long>").repartition(5)
+
+    def keys_of(batch):
+        for keys in batch.column("keys").to_pylist():
+            yield np.array(keys, np.uint64)
+
+    bits = bloom.twice_seen(frame, keys_of, 14, sparse_bits)
+    assert bloom.holds(bits, shared.astype(np.uint64), 14).all()
+    assert bloom.holds(bits, np.concatenate(own).astype(np.uint64), 14).mean() < 0.1
+    assert (bits == bloom.twice_seen(frame, keys_of, 14)).all()
+
+
 def expected_components(rows, prints):
     at = brute.components(len(rows), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= simhash.MAX_BITS)
     ids = {}
