@@ -46,7 +46,7 @@ LAYER_RATE = 1.0
 KEEP = 0.999
 SURE = 0.4
 #: Words that a Python worker remembers with what they add.
-WORDS_KEPT = 750_000
+WORDS_KEPT = 400_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -165,7 +165,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
 
     found = map_batches(rows, work, "doc_id long, lang string, words array<string>")
     taken = found.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "words").limit(sample).collect()
-    return train([gram_rows(r["words"])[0] for r in taken], [r["lang"] for r in taken])
+    return train([gram_rows(r["words"])[0].astype(np.int32) for r in taken], [r["lang"] for r in taken])
 
 
 class _Scorer:
