@@ -115,13 +115,16 @@ def sync_summary(source: DataFrame, target: DataFrame, rule: SyncRule) -> DataFr
     mark = target_mark(target, rule)
     rows = new_rows(source, mark, rule)
     keys = replaced_keys(rows, mark, rule)
-    kept = target if keys is None else delete_by_keys(target, keys, rule.key)
-    tagged = (
-        target.select(F.lit("before").alias("part"))
-        .union(kept.select(F.lit("unchanged")))
-        .union(rows.select(F.lit("inserted")))
+    flagged = target.select(F.lit(None).cast("boolean").alias("__hit"))
+    if keys is not None:
+        hit = keys.where(F.col(rule.key).isNotNull()).distinct().withColumn("__hit", F.lit(True))
+        flagged = target.select(rule.key).join(hit, rule.key, "left")
+    none = F.lit(0).cast("bigint")
+    before, unchanged = F.count(F.lit(1)).alias("before"), F.count_if(F.col("__hit").isNull()).alias("unchanged")
+    parts = flagged.agg(before, unchanged, F.max(none).alias("inserted")).union(
+        rows.agg(F.max(none), F.max(none), F.count(F.lit(1)))
     )
-    counts = tagged.agg(*[F.count_if(F.col("part") == part).alias(part) for part in ("before", "unchanged", "inserted")])
+    counts = parts.agg(*[F.sum(c).alias(c) for c in ("before", "unchanged", "inserted")])
     return counts.select(
         (F.col("before") - F.col("unchanged")).alias("deleted"),
         "inserted",
