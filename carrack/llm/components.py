@@ -37,4 +37,5 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _round_written(pairs: DataFrame) -> tuple[DataFrame, tuple]:
     table = written(pairs, "stars")
-    return table, tuple(table.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "u")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    return table, tuple(table.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "u")), total).first())

@@ -153,8 +153,8 @@ def packed(pieces: DataFrame, capacity: int = SEQUENCE, open_bins: int = OPEN_BI
         for batch in batches:
             placed = [bins.place(n) for n in batch.column("length").to_pylist()]
             numbers, offsets = zip(*placed) if placed else ((), ())
-            columns = [*batch.columns[:-1], pa.array([base + n for n in numbers], pa.int64()), pa.array(offsets, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            added = [pa.array([base + n for n in numbers], pa.int64()), pa.array(offsets, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names)
 
     schema = T.StructType([*pieces.schema.fields]).add("sequence_id", "long").add("offset", "long")
     names = schema.names

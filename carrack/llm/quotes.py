@@ -48,7 +48,9 @@ def _hashes(passage: Column) -> Column:
     """``hash, size`` of the paragraphs and lines of a passage."""
     parts = F.array_distinct(F.concat(F.split(passage, r"\n[ \t]*\n"), F.split(passage, r"\n")))
     long = F.filter(F.transform(parts, normalised), lambda p: F.length(p) >= LEAST_CHARS)
-    return F.transform(F.array_distinct(long), lambda p: F.struct(F.sha2(p, 256).alias("hash"), F.length(p).alias("size")))
+    return F.transform(
+        F.array_distinct(long), lambda p: F.struct(F.sha2(p, 256).alias("hash"), F.length(p).alias("size"))
+    )
 
 
 def own_text(text: Column) -> Column:
@@ -105,9 +107,10 @@ def reply_links(messages: DataFrame) -> DataFrame:
 
 def threads(links: DataFrame) -> DataFrame:
     """``conv_id, turn, root_turn, depth`` of the messages that reply, by pointer doubling."""
-    at = written(links.select("conv_id", "turn", F.col("parent_turn").alias("root_turn"), F.lit(1).cast("long").alias("depth")), "threads")
+    one = F.lit(1).cast("long").alias("depth")
+    at = written(links.select("conv_id", "turn", F.col("parent_turn").alias("root_turn"), one), "threads")
     while True:
-        up = at.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("above"), F.col("depth").alias("more"))
+        up = at.toDF("conv_id", "root_turn", "above", "more")
         doubled = at.join(up, ["conv_id", "root_turn"], "left")
         moved = written(
             doubled.select(

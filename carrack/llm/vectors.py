@@ -118,7 +118,8 @@ def _usable(df: DataFrame) -> DataFrame:
         for value in batch.column("embedding").to_pylist():
             vector = np.array([np.nan if x is None else x for x in value or ()], kind)
             raw.append(vector.tobytes() if len(vector) and np.isfinite(vector).all() and vector.any() else None)
-        yield {"vec_id": batch.column("vec_id"), "raw": raw, "dim": [len(x) // kind.itemsize if x else None for x in raw]}
+        dim = [len(x) // kind.itemsize if x else None for x in raw]
+        yield {"vec_id": batch.column("vec_id"), "raw": raw, "dim": dim}
 
     return map_batches(df.select("vec_id", "embedding"), work, "vec_id long, raw binary, dim int")
 
@@ -142,7 +143,8 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
     dealt = nodes.select(
         "dim", "node", "weight", "raw", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("own")
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = dealt.select("dim", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "weight", "raw")
+    ends = F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    pairs = dealt.select("dim", *ends, "own", "node", "weight", "raw")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         dim, lo, hi = (k.as_py() for k in key)
@@ -176,17 +178,20 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
         nodes.drop("dim")
         .join(reached, "node", "left")
         .join(counts, "node", "left")
-        .select("raw", "weight", "first_id", F.coalesce("root", "node").alias("root"), F.coalesce("n", F.lit(0)).alias("n"))
+        .withColumn("root", F.coalesce("root", "node"))
+        .select("raw", "weight", "first_id", "root", F.coalesce("n", F.lit(0)).alias("n"))
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    judged = rooted.join(named, "root").select("raw", "component_id", (F.col("n") + F.col("weight") - 1).alias("n_links"))
+    links = (F.col("n") + F.col("weight") - 1).alias("n_links")
+    judged = rooted.join(named, "root").select("raw", "component_id", links)
     alone = given.where("raw IS NULL").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
     )
     return (
         given.where("raw IS NOT NULL")
         .join(judged, "raw")
-        .select("vec_id", "n_links", "component_id", F.coalesce(F.expr("vec_id = component_id"), F.lit(False)).alias("kept"))
+        .withColumn("kept", F.coalesce(F.expr("vec_id = component_id"), F.lit(False)))
+        .select("vec_id", "n_links", "component_id", "kept")
         .union(alone)
     )
 

@@ -292,9 +292,8 @@ class WarcWriter(DataSourceArrowWriter):
                         names.append(f"{uuid.uuid4().hex}.warc.gz")
                         out, size = files.open_output_stream(f"{root}/{names[-1]}", compression=None), 0
                     payload = row["payload"] or b""
-                    out.write(
-                        member(record(row["record_id"], row["record_type"], row["target_uri"], row["refers_to"], payload, self.date))
-                    )
+                    told = [row[name] for name in ("record_id", "record_type", "target_uri", "refers_to")]
+                    out.write(member(record(*told, payload, self.date)))
                     size += len(payload)
                     if size >= self.roll:
                         out.close()
@@ -349,7 +348,8 @@ def register(spark: SparkSession) -> None:
 def record_id(page_id: Column) -> Column:
     """A record's name, which holds the page_id in its lower half; without one it is all ones."""
     digits = F.lower(F.lpad(F.hex(page_id), 16, "0"))
-    named = F.concat(F.lit("urn:uuid:00000000-0000-0000-"), F.substring(digits, 1, 4), F.lit("-"), F.substring(digits, 5, 12))
+    halves = F.substring(digits, 1, 4), F.lit("-"), F.substring(digits, 5, 12)
+    named = F.concat(F.lit("urn:uuid:00000000-0000-0000-"), *halves)
     return F.coalesce(named, F.lit("urn:uuid:ffffffff-ffff-ffff-ffff-ffffffffffff"))
 
 
