@@ -26,18 +26,23 @@ UNIT = 4
 SKETCH = 64
 
 
-def _hashed_pairs(text: Column) -> Column:
-    """Hashes of the inner substrings: of each unit with the next one."""
-    units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"), F.lit(0))
-    hashes = F.transform(units, lambda u: F.xxhash64(u))
+def with_pairs(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` with the hashes of the inner substrings: of each unit with the next one.
+
+    The hashes of the units are a projection of their own: they are used several times.
+    """
+    units = F.regexp_extract_all(F.coalesce(column, F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"), F.lit(0))
+    hashes = F.col("__units")
     # With one unit the pair is the unit itself, so that such a text has something to hash.
-    return F.when(F.size(hashes) < 2, hashes).otherwise(
+    pairs = F.when(F.size(hashes) < 2, hashes).otherwise(
         F.zip_with(
             F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(1))),
             F.slice(hashes, 2, F.greatest(F.size(hashes) - 1, F.lit(1))),
             lambda a, b: F.xxhash64(a, b),
         )
     )
+    hashed = df.withColumn("__units", F.transform(units, lambda u: F.xxhash64(u)))
+    return hashed.withColumn(name, pairs).drop("__units")
 
 
 def anchors(pairs: Column) -> Column:
@@ -46,15 +51,16 @@ def anchors(pairs: Column) -> Column:
     def at(i: Column, n: int) -> Column:
         return F.get(pairs, i + n)
 
-    def anchor(i: Column) -> Column:
-        edge, inside = F.least(at(i, 0), at(i, 3)), F.least(at(i, 1), at(i, 2))
-        made = F.struct(i.alias("at"), F.xxhash64(at(i, 0), at(i, 2), at(i, 3)).alias("hash"))
+    def anchor(first: Column, i: Column) -> Column:
+        edge, inside = F.least(first, at(i, 3)), F.least(at(i, 1), at(i, 2))
+        made = F.struct(i.alias("at"), F.xxhash64(first, at(i, 2), at(i, 3)).alias("hash"))
         return F.when(edge <= inside, made)
 
     joined = F.array_join(F.transform(pairs, lambda x: x.cast("string")), " ")
     whole = F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(joined).alias("hash")))
     none = F.slice(whole, 1, 0)
-    chosen = F.filter(F.transform(F.sequence(F.lit(0), F.size(pairs) - 4), anchor), lambda x: x.isNotNull())
+    starts = F.slice(pairs, F.lit(1), F.size(pairs) - 3)
+    chosen = F.filter(F.transform(starts, anchor), lambda x: x.isNotNull())
     return F.when(F.size(pairs) >= 4, chosen).when(F.size(pairs) > 0, whole).otherwise(none)
 
 
@@ -78,7 +84,7 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprinted(df: DataFrame, column: str, name: str) -> DataFrame:
     """``df`` with the sketch of a text column; each step is a projection of its own, so it is computed once."""
     return (
-        df.withColumn("__pairs", _hashed_pairs(F.col(column)))
+        with_pairs(df, column, "__pairs")
         .withColumn("__anchors", anchors(F.col("__pairs")))
         .withColumn(name, sketch(F.col("__anchors")))
         .drop("__pairs", "__anchors")

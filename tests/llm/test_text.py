@@ -255,7 +255,7 @@ def test_closed_syncmers_are_context_free(spark):
     """The anchors of a passage are the same wherever it stands, and each has its minimum at an edge."""
     passage = " ".join(f"unit{n * 7919 % 1000:03d}" for n in range(60))
     frame = spark.createDataFrame([(1, passage), (2, "before it " + passage + " and after")], "doc_id long, text string")
-    found = frame.select("doc_id", syncmers._hashed_pairs(F.col("text")).alias("p")).select("doc_id", "p", syncmers.anchors(F.col("p")).alias("a"))
+    found = syncmers.with_pairs(frame, "text", "p").withColumn("a", syncmers.anchors(F.col("p")))
     one, two = found.orderBy("doc_id").collect()
     for row in (one, two):
         expected = [n for n in range(len(row["p"]) - 3) if min(row["p"][n], row["p"][n + 3]) <= min(row["p"][n + 1 : n + 3])]
