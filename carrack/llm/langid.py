@@ -8,8 +8,10 @@ are trained together by stochastic gradient descent in numpy.
 Training takes a bounded sample, ``SAMPLE`` labelled documents and ``SAMPLE_WORDS``
 words spread evenly over each; the model is a few megabytes.  A fifth of the sample is
 kept aside to calibrate: a temperature makes the score a probability, and documents
-are rejected whose score is below that of nearly all right predictions (``KEEP``), but
-never at a score of ``SURE`` or more.
+are rejected whose score is below that of all but 1 - ``KEEP`` of the right predictions.
+Texts of random letters are learned as a class of their own, which takes from the score
+of what is in no language, also if one or two languages are learned; a text for which it
+is the best class is rejected.
 
 Scoring reads whole texts.  The model being linear, a word adds the same to every text,
 so each worker keeps what its words add.
@@ -43,8 +45,9 @@ STEPS = 400
 BATCH = 32
 TABLE_RATE = 200.0
 LAYER_RATE = 1.0
-KEEP = 0.999
-SURE = 0.4
+KEEP = 0.99
+#: Texts of random letters for each document of the sample.
+NOISE = 0.25
 #: Words that a Python worker remembers with what they add.
 WORDS_KEPT = 400_000
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -97,8 +100,25 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(1, keepdims=True)
 
 
-def train(bags: list[np.ndarray], labels: list[str], seed: int = 7) -> LanguageModel | None:
-    """Fit on bags of table rows; ``None`` if there is nothing to learn."""
+def noise_words(words: list[list[str]], seed: int = 11) -> list[list[str]]:
+    """Texts of random letters with word lengths of the given ones, letters as in them or all alike in turn."""
+    random = np.random.default_rng(seed)
+    given = [w for w in words if w]
+    if not given:
+        return []
+    letters = np.array(list("".join("".join(w) for w in given)))
+    alphabet = np.unique(letters)
+    made = []
+    for n in range(int(np.ceil(NOISE * len(given)))):
+        lengths = np.array([len(w) for w in given[random.integers(len(given))]])
+        drawn = "".join(random.choice(alphabet if n % 2 else letters, lengths.sum()))
+        ends = np.cumsum(lengths)
+        made.append([drawn[a:b] for a, b in zip(ends - lengths, ends)])
+    return made
+
+
+def train(bags: list[np.ndarray], labels: list[str], seed: int = 7, noise: list[np.ndarray] = ()) -> LanguageModel | None:
+    """Fit on bags of table rows, with those of ``noise`` as a last class; ``None`` if there is nothing to learn."""
     labelled = [(bag, label) for bag, label in zip(bags, labels) if len(bag) and label is not None]
     if not labelled:
         return None
@@ -108,10 +128,13 @@ def train(bags: list[np.ndarray], labels: list[str], seed: int = 7) -> LanguageM
     aside = order[: len(order) // 5]
     fitted = order[len(aside) :]
     number = {label: n for n, label in enumerate(languages)}
-    y = np.array([number[label] for _, label in labelled])
+    y = np.array([number[label] for _, label in labelled] + [len(languages)] * len(noise))
+    fitted = np.concatenate([fitted, np.arange(len(labelled), len(y))])
+    labelled += [(bag, None) for bag in noise]
+    classes = len(languages) + bool(len(noise))
     table = random.normal(0, 0.1, (1 << LOG2_ROWS, DIMENSIONS)).astype(np.float32)
-    layer = random.normal(0, 0.5, (DIMENSIONS, len(languages))).astype(np.float32)
-    offsets = np.zeros(len(languages), np.float32)
+    layer = random.normal(0, 0.5, (DIMENSIONS, classes)).astype(np.float32)
+    offsets = np.zeros(classes, np.float32)
     epochs = max(1, -(-STEPS * BATCH // len(fitted)))
     steps = epochs * -(-len(fitted) // BATCH)
     step = 0
@@ -134,7 +157,7 @@ def train(bags: list[np.ndarray], labels: list[str], seed: int = 7) -> LanguageM
             np.subtract.at(table, bag, left * np.float32(TABLE_RATE) * np.repeat(change, sizes, 0))
     rows = table @ layer
     model = LanguageModel(languages, rows, offsets, 1.0, 0.0)
-    tested = aside if len(aside) else fitted
+    tested = aside if len(aside) else fitted[fitted < len(labelled) - len(noise)]
     totals = np.stack([rows[labelled[n][0]].sum(0) for n in tested])
     counts = np.array([len(labelled[n][0]) for n in tested])
     scales = np.geomspace(0.5, 4, 33)
@@ -146,7 +169,7 @@ def train(bags: list[np.ndarray], labels: list[str], seed: int = 7) -> LanguageM
     p = LanguageModel(languages, rows, offsets, scale, 0.0).probabilities(totals, counts)
     right = np.sort(p.max(1)[p.argmax(1) == y[tested]])
     least = float(right[int((1 - KEEP) * len(right))]) if len(right) else 0.0
-    return LanguageModel(languages, model.rows, model.offsets, scale, min(least, SURE))
+    return LanguageModel(languages, model.rows, model.offsets, scale, least)
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
@@ -165,7 +188,11 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
 
     found = map_batches(rows, work, "doc_id long, lang string, words array<string>")
     taken = found.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "words").limit(sample).collect()
-    return train([gram_rows(r["words"])[0].astype(np.int32) for r in taken], [r["lang"] for r in taken])
+    bags, noise = (
+        [gram_rows(words)[0].astype(np.int32) for words in some]
+        for some in ([r["words"] for r in taken], noise_words([r["words"] for r in taken]))
+    )
+    return train(bags, [r["lang"] for r in taken], noise=noise)
 
 
 class _Scorer:
@@ -174,7 +201,7 @@ class _Scorer:
     def __init__(self, model: LanguageModel):
         self.model = model
         self.known: dict[str, int] = {}
-        self.added = np.zeros((1024, len(model.languages) + 1), np.float32)
+        self.added = np.zeros((1024, model.rows.shape[1] + 1), np.float32)
 
     def _learn(self, new: list[str]) -> None:
         for at in range(0, len(new), 50_000):
@@ -206,10 +233,11 @@ class _Scorer:
                 totals[n] = self.added[at].sum(0, dtype=np.float64)
         p = self.model.probabilities(totals[:, :-1], totals[:, -1])
         none = totals[:, -1] == 0
-        best = p.argmax(1)
+        known = p[:, : len(self.model.languages)]
+        best = known.argmax(1)
         score = np.where(none, 0.0, p[np.arange(len(batch)), best])
         found = [UNKNOWN if no else self.model.languages[b] for no, b in zip(none, best)]
-        return found, score, none | (score < self.model.threshold)
+        return found, score, none | (score < self.model.threshold) | (p.max(1) > score)
 
 
 _scorers: dict[int, _Scorer] = {}

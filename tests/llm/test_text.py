@@ -224,6 +224,18 @@ def test_language_id_holds_out_and_is_accurate(spark):
     assert np.mean([r["lang_pred"] == labels[r["doc_id"]] for r in got if r["held_out"]]) > 0.97
 
 
+def test_language_id_rejects_what_it_has_not_learned(spark):
+    """Documents of an unlearned language in the same script, and random letters, go; clean ones stay."""
+    rng = np.random.default_rng(2)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("n_chars > 200").select("doc_id", "text", "lang")
+    aside = F.col("doc_id") % 5 == 0
+    letters = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9))) for _ in range(30)) for _ in range(200)]
+    junk = spark.createDataFrame([(n, t, "junk") for n, t in enumerate(letters)], docs.schema)
+    for learned, unlearned, least in ((["de", "en", "fr"], "es", 0.9), (["en"], "de", 0.9)):
+        model = langid.fit(docs.where(F.col("lang").isin(learned) & ~aside), 1500)
+        found = langid.identified(docs.where(aside).union(junk), model).collect()
+        share = {x: np.mean([r["rejected"] for r in found if r["lang"] in x]) for x in ("junk", unlearned, tuple(learned))}
+        assert share["junk"] > 0.95 and share[unlearned] >= least and share[tuple(learned)] < 0.03
 
 
 def test_syncmer_fingerprints(spark, rows):
