@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 from .tables import written
 
 MARKS = r"^(?:[ \t]*>)+"
-#: Normalised passages of fewer characters are too common to tell a source.
-LEAST_CHARS = 8
 
 
 def _lines(text: Column) -> Column:
@@ -47,9 +45,9 @@ def normalised(passage: Column) -> Column:
 def _hashes(passage: Column) -> Column:
     """``hash, size`` of the paragraphs and lines of a passage."""
     parts = F.array_distinct(F.concat(F.split(passage, r"\n[ \t]*\n"), F.split(passage, r"\n")))
-    long = F.filter(F.transform(parts, normalised), lambda p: F.length(p) >= LEAST_CHARS)
+    filled = F.filter(F.transform(parts, normalised), lambda p: F.length(p) > 0)
     return F.transform(
-        F.array_distinct(long), lambda p: F.struct(F.sha2(p, 256).alias("hash"), F.length(p).alias("size"))
+        F.array_distinct(filled), lambda p: F.struct(F.sha2(p, 256).alias("hash"), F.length(p).alias("size"))
     )
 
 

@@ -98,6 +98,23 @@ def test_a_long_reply_chain_and_a_common_passage(spark):
     assert all(got[2, n] == (0, min(n, 1)) for n in range(40))
 
 
+def test_short_quotations_link(spark):
+    """Passages of any length tell a source; a short one at the first level is the parent, not its grandparent."""
+    rows = [
+        (1, 0, "u", "the original question"),
+        (1, 1, "u", "> the original question\nok, go"),
+        (1, 2, "u", "> ok, go\n>> the original question\ngone"),
+        (2, 0, "u", "好的。"),
+        (2, 1, "u", "> 好的。\n谢谢"),
+        (2, 2, "u", "> 谢谢\n> \nA"),
+        (2, 3, "u", "> a\nend"),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["parent_turn"], r["root_turn"], r["depth"]) for r in quotes.linked_conversations(frame).collect()}
+    chain = {(c, t): (t - 1 if t else None, 0, t) for c, t, _, _ in rows}
+    assert got == chain
+
+
 PAGES = [
     (5, "http://a/", "<p>é</p>"),
     (3, "http://b/\r\nX: y", "<p>é</p>"),
