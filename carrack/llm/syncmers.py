@@ -7,6 +7,10 @@ at its first or last place: a closed syncmer.  That depends on the k-mer alone,
 passages have equal anchors wherever they stand, and an edit only changes the anchors
 that it touches.
 
+In a run of more than ``LONGEST_WORD`` characters without ASCII white space, as in
+Chinese, units of a fixed stride would depend on what precedes them.  There a unit
+starts at every character and has ``LONG_UNIT`` of them, so a k-mer of five has 20.
+
 The fingerprint is the ``SKETCH`` smallest of the anchors' hashes, in hexadecimal; the
 likeness of two fingerprints is the share of common ones among the smallest of both, an
 estimate of the Jaccard similarity of the anchor sets.
@@ -23,6 +27,9 @@ from pyspark.sql import functions as F
 from .tables import documents, written
 
 UNIT = 4
+LONGEST_WORD = 24
+LONG_UNIT = 16
+_FILLED = r"[^\x20\x09-\x0D]"
 SKETCH = 64
 
 
@@ -31,7 +38,19 @@ def with_pairs(df: DataFrame, column: str, name: str) -> DataFrame:
 
     The hashes of the units are a projection of their own: they are used several times.
     """
-    units = F.regexp_extract_all(F.coalesce(column, F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"), F.lit(0))
+    text = F.coalesce(F.col(column), F.lit(""))
+
+    def found(part: Column, pattern: str, group: int = 0) -> Column:
+        return F.regexp_extract_all(part, F.lit(pattern), F.lit(group))
+
+    def of_run(run: Column) -> Column:
+        at_each = found(run, rf"(?=({_FILLED}{{1,{LONG_UNIT}}})){_FILLED}", 1)
+        return F.when(F.length(run) > LONGEST_WORD, at_each).otherwise(found(run, rf"{_FILLED}{{1,{UNIT}}}"))
+
+    has_long = text.rlike(rf"{_FILLED}{{{LONGEST_WORD + 1}}}")
+    units = F.when(has_long, F.flatten(F.transform(found(text, rf"{_FILLED}+"), of_run))).otherwise(
+        found(text, rf"{_FILLED}{{1,{UNIT}}}")
+    )
     hashes = F.col("__units")
     # With one unit the pair is the unit itself, so that such a text has something to hash.
     pairs = F.when(F.size(hashes) < 2, hashes).otherwise(

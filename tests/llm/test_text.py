@@ -282,3 +282,19 @@ def test_neighbours_across_partitions(spark):
     order = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
     expected = {order[(n + 1) % len(order)]: order[n] for n in range(len(order))}
     assert {(r["doc_id"], r["copy"]): (r["before_id"], r["before_copy"]) for r in got} == expected
+
+
+def test_syncmers_of_text_without_blanks(spark):
+    """A passage without ASCII blanks keeps its anchors if it is shifted by a few characters."""
+    rng = np.random.default_rng(3)
+    han = "".join(chr(x) for x in rng.integers(0x4E00, 0x9FA5, 400))
+    spaced = "\u00a0".join(f"wort{x}" for x in rng.integers(0, 10_000, 80))
+    data = [(10 * n + k, "abc"[:k] + t) for n, t in enumerate((han, spaced)) for k in range(4)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in syncmers.fingerprinted(frame, "text", "s").collect()}
+    first = syncmers.with_pairs(frame, "text", "p").withColumn("a", syncmers.anchors(F.col("p")))
+    hashes = {r["doc_id"]: {a["hash"] for a in r["a"]} for r in first.collect()}
+    for n in (0, 10):
+        assert len(got[n]["s"]) == syncmers.SKETCH
+        for k in (1, 2, 3):
+            assert len(hashes[n] & hashes[n + k]) > 0.95 * len(hashes[n])
