@@ -122,7 +122,7 @@ class OpenBins:
             free = size + (fitting & -fitting).bit_length() - 1
             number = self._take(free)
         else:
-            if self.count == self.most:  # the fullest has the least free space
+            if self.count == self.most and size < self.capacity:  # a full bin needs no place; the fullest has the least free space
                 self._take((self.bits & -self.bits).bit_length() - 1)
             free, number = self.capacity, self.opened
             self.opened += 1

@@ -298,3 +298,8 @@ def test_syncmers_of_text_without_blanks(spark):
         assert len(got[n]["s"]) == syncmers.SKETCH
         for k in (1, 2, 3):
             assert len(hashes[n] & hashes[n + k]) > 0.95 * len(hashes[n])
+
+
+def test_a_full_piece_closes_no_open_bin():
+    bins = packing.OpenBins(10, 1)
+    assert [bins.place(n) for n in (6, 10, 4)] == [(0, 0), (1, 0), (0, 6)]
