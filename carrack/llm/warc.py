@@ -184,12 +184,15 @@ def records(file: BinaryIO, wanted, with_payload: bool) -> Iterator[dict[str, An
         start = file.tell()
         magic = file.read(3)
         file.seek(start)
-        if not magic.strip(b"\r\n"):
+        if not magic:
             return
+        if blank := len(magic) - len(magic.lstrip(b"\r\n")):  # line ends between records
+            file.seek(start + blank)
+            continue
         source = _Member(file) if magic == _GZIP else _Plain(file)
         end = _head(source, 0)
         if end < 0:
-            return
+            raise ValueError(f"a record at byte {start} has no complete header")
         fields = _fields(bytes(source.data[:end]))
         length = int(fields.get("content-length", 0))
         source.length = end + length + 4

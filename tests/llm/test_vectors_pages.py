@@ -186,6 +186,16 @@ def test_a_reader_skips_what_is_not_wanted(tmp_path):
         assert counting.read_bytes < len(data) / 5
 
 
+def test_a_reader_goes_on_after_blank_lines(tmp_path):
+    one = warc.record("urn:x:1", "response", None, None, b"body", "d")
+    (tmp_path / "a.warc").write_bytes(one + b"\r\n\r\n\n" + one + b"\r\n")
+    with open(tmp_path / "a.warc", "rb") as file:
+        assert len(list(warc.records(file, lambda row: True, True))) == 2
+    (tmp_path / "b.warc").write_bytes(one + b"WARC/1.0\r\nno blank line\r\n")
+    with open(tmp_path / "b.warc", "rb") as file, pytest.raises(ValueError):
+        list(warc.records(file, lambda row: True, True))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_is_its_sql(spark, small, name):
     con = duckdb.connect()
