@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lines, packing, pieces, quotes, simhash, substrings, syncmers, vectors, warc
+from . import centroids, langid, lines, mixing, packing, pieces, quotes, simhash, substrings, syncmers, trie, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_syncmer_fingerprints": syncmers.op9_syncmer_fingerprints,
     "op10_warc_archives": warc.op10_warc_archives,
+    "op11_mixing": mixing.op11_mixing,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_prefix_trie": trie.op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
@@ -26,4 +29,7 @@ ORACLES: dict[str, str] = {
     "op6_embedding_near_dedup": vectors.ORACLE,
     "op7_quotation_links": quotes.ORACLE,
     "op10_warc_archives": warc.ORACLE,
+    "op11_mixing": mixing.ORACLE,
+    "op12_centroids": centroids.ORACLE,
+    "op13_prefix_trie": trie.ORACLE,
 }
