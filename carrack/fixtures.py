@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import codecs
+import gzip
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import storage
-from .session import scratch_path
+from .session import scratch_path, ship_package
 from .sources.tables import parquet_table
 
 SLICE = "o_orderstatus IN ('O', 'F')"
@@ -98,3 +105,89 @@ def text_shards(spark: SparkSession, folder: str) -> str:
             storage.rename(spark, f"{build}/{part}", f"{path}/cust_{number}_{piece:09d}{tag}{ending}")
         storage.delete(spark, build)
     return path
+
+
+#: Customers in a shard of :func:`encoded_shards`, at most, and what its shards are.
+ENCODED_KEYS = 100_000
+ENCODED_KINDS = ("utf16le.txt", "utf16be.csv", "utf32le.txt", "lzw.csv.Z", "members.csv.gz")
+
+
+def encoded_shards(spark: SparkSession, folder: str) -> str:
+    """Customers as shards in UTF-16 and UTF-32, with LZW, and in several gzip members; returns their folder."""
+    ship_package(spark)
+    path = scratch_path(spark, "encoded")
+    storage.make_dir(spark, path)
+    uri = re.sub("^file:/+", "file:///", storage.uri(spark, path))
+    customer, key = parquet_table(spark, folder, "customer"), F.col("c_custkey")
+    n_pieces = customer.agg(F.max(key)).first()[0] // ENCODED_KEYS + 1
+    number = (F.floor(key / ENCODED_KEYS) * len(ENCODED_KINDS) + key % len(ENCODED_KINDS)).cast("int")
+    line = F.concat_ws(",", "c_custkey", "c_name", F.lit("\u00e9\u20ac\U0001f600"), "c_mktsegment")
+    rows = customer.select(number.alias("number"), key.alias("rank"), line.alias("line"))
+    rows = rows.repartitionById(n_pieces * len(ENCODED_KINDS), F.col("number")).sortWithinPartitions("number", "rank")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, lines = None, []
+        for batch in batches:
+            for number, text in zip(batch.column("number").to_pylist(), batch.column("line").to_pylist()):
+                lines.append(text + "\n")
+        if number is not None:
+            piece, kind = divmod(number, len(ENCODED_KINDS))
+            name = f"cust_{piece:06d}_{ENCODED_KINDS[kind]}"
+            store, root = FileSystem.from_uri(uri)
+            with store.open_output_stream(f"{root}/{name}", compression=None) as target:
+                target.write(_encoded("".join(lines), ENCODED_KINDS[kind]))
+            yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    rows.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+    return path
+
+
+def _encoded(text: str, kind: str) -> bytes:
+    if kind.endswith(".gz"):
+        data = text.encode()
+        return b"".join(gzip.compress(data[n : n + 4096]) for n in range(0, len(data), 4096))
+    if kind.endswith(".Z"):
+        return lzw_compressed(text.encode())
+    mark, name = {
+        "utf16le.txt": (codecs.BOM_UTF16_LE, "utf-16-le"),
+        "utf16be.csv": (codecs.BOM_UTF16_BE, "utf-16-be"),
+        "utf32le.txt": (codecs.BOM_UTF32_LE, "utf-32-le"),
+    }[kind]
+    return mark + text.encode(name)
+
+
+def lzw_compressed(data: bytes, most: int = 16, clear_after: int | None = None) -> bytes:
+    """A ``.Z`` file of some bytes; its table is cleared every ``clear_after`` codes."""
+    out, width, group = bytearray([0x1F, 0x9D, 0x80 | most]), 9, []
+    table, known, n_codes = {bytes([n]): n for n in range(256)}, 256, 0
+
+    def put(code: int, last: bool = False) -> None:
+        """A code; a group is full, or left as it is, where the reader changes its width."""
+        nonlocal width, known, n_codes
+        group.append(code)
+        n_codes += 1
+        known += n_codes > 1 and known < 1 << most  # what the reader's table has by now
+        wider = (known + 1) >> width and width < max(most, 10)
+        if len(group) == 8 or wider or last or code == 256:
+            bits = sum(c << n * width for n, c in enumerate(group))
+            whole = width if not last else (len(group) * width + 7) // 8
+            out.extend(bits.to_bytes(width, "little")[:whole])
+            group.clear()
+            width += bool(wider and not last)
+
+    text = b""
+    for byte in data:
+        longer = text + bytes([byte])
+        if longer in table:
+            text = longer
+            continue
+        put(table[text])
+        if len(table) < (1 << most) - 1:
+            table[longer] = len(table) + 1
+        text = longer[-1:]
+        if clear_after and n_codes >= clear_after:
+            put(256)
+            table, known, n_codes, width = {bytes([n]): n for n in range(256)}, 256, 0, 9
+    if text:
+        put(table[text], True)
+    return bytes(out)

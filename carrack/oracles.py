@@ -125,6 +125,12 @@ FROM lineitem GROUP BY l_returnflag
 UNION ALL SELECT 'BCP lineitem_copy : BCP_02', 0, true, 'l_returnflag', '', 'failed'
 UNION ALL SELECT 'BCP lineitem_copy : BCP_03', 0, true, 'l_returnflag', '', 'failed'""",
     "shard_scan": _SHARDS + "SELECT file_name, line FROM physical",
+    "shard_encodings": """
+SELECT 'cust_' || lpad(CAST(c_custkey // 100000 AS VARCHAR), 6, '0') || '_' ||
+       ['utf16le.txt', 'utf16be.csv', 'utf32le.txt', 'lzw.csv.Z', 'members.csv.gz'][c_custkey % 5 + 1] AS file_name,
+       row_number() OVER (PARTITION BY c_custkey // 100000, c_custkey % 5 ORDER BY c_custkey) - 1 AS line_no,
+       c_custkey || ',' || c_name || ',é€😀,' || c_mktsegment AS line
+FROM customer""",
     "shard_skip": _SHARDS
     + """
 SELECT file_name, line_no, line FROM physical

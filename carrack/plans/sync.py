@@ -12,7 +12,7 @@ from ..functions.predicates import Predicate, restrict
 from ..functions.types import plan_types
 from ..operators.keys import delete_by_keys
 from ..operators.versions import TARGET_DEFAULT, Watermark, changed_keys, delta_rows, watermark
-from ..sinks.segments import SegmentedTable
+from ..sinks.replica import Replica
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,7 @@ def target_mark(target: DataFrame, rule: SyncRule) -> Watermark:
     return watermark(target, rule.created, rule.modified, rule.where, TARGET_DEFAULT)
 
 
-def replica_mark(replica: SegmentedTable, rule: SyncRule) -> Watermark:
+def replica_mark(replica: Replica, rule: SyncRule) -> Watermark:
     """The watermark of a replica, in most cases without scanning all of it.
 
     The highest versions are not below those of an earlier sync unless rows have been
@@ -142,18 +142,18 @@ def create_replica(
     cluster_by=(),
     strict: bool = False,
     datetime_as_date: bool = False,
-) -> SegmentedTable:
+) -> Replica:
     """Drop and create an empty replica with the mapped column types of ``source``."""
     if rule:
         strict, datetime_as_date = rule.strict, rule.datetime_as_date
     plan = plan_types(source.schema, strict, datetime_as_date)
     names = {f.name.lower(): f.name for f in plan.schema.fields}
     key = names.get(rule.key.lower()) if rule else None
-    return SegmentedTable.create(spark, path, plan.schema, key, partition_by, cluster_by)
+    return Replica.create(spark, path, plan.schema, key, partition_by, cluster_by)
 
 
 def sync_replica(
-    replica: SegmentedTable, source: DataFrame, rule: SyncRule, stream: tuple[str, int] | None = None
+    replica: Replica, source: DataFrame, rule: SyncRule, stream: tuple[str, int] | None = None
 ) -> SyncResult:
     """One sync into a replica.  The work is the delta, not the table.
 

@@ -210,6 +210,12 @@ def shard_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_shards(spark, shards).select("file_name", "line")
 
 
+def shard_encodings(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards in UTF-16 and UTF-32, with LZW and of several gzip members, with their line numbers."""
+    shards = list_shards(spark, fixtures.encoded_shards(spark, folder))
+    return number_lines(spark, shards, scratch_path(spark, "lines")).lines.select("file_name", "line_no", "line")
+
+
 def shard_skip(spark: SparkSession, folder: str) -> DataFrame:
     return _numbered(spark, folder, 0, 1).lines.select("file_name", "line_no", "line")
 
@@ -247,7 +253,7 @@ def _numbered(spark: SparkSession, folder: str, skip_first: int, skip_others: in
 def stream_sync(spark: SparkSession, folder: str) -> DataFrame:
     """All events as a stream, then once more from the start with a new checkpoint."""
     events = parquet_table(spark, folder, "events")
-    replica = sync.create_replica(spark, scratch_path(spark, "events"), events)
+    replica = sync.create_replica(spark, scratch_path(spark, "events"), events, sync.SyncRule("event_id", "ts", "event_id"))
     source = _stream_files(spark, events, "event_id")
     for run in ("first", "again"):
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(source)
@@ -339,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_load": split_load,
     "split_load_report": split_load_report,
     "shard_scan": shard_scan,
+    "shard_encodings": shard_encodings,
     "shard_skip": shard_skip,
     "filename_field": filename_field,
     "round_robin_split": round_robin_split,

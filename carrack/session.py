@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +52,17 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`scratch_root`; nothing exists there yet."""
     return f"{scratch_root(spark)}/carrack-{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, through Spark's own file server."""
+    context = spark.sparkContext
+    if getattr(context, "_carrack_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="carrack-code-")) / "carrack.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as target:
+        for file in sorted(root.rglob("*.py")):
+            target.write(file, f"{root.name}/{file.relative_to(root)}")
+    context.addPyFile(str(archive))
+    context._carrack_shipped = True

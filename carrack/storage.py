@@ -5,7 +5,9 @@ Data never passes through these functions, only names, sizes and commit records.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
@@ -56,6 +58,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def delete_quietly(spark: SparkSession, path: str) -> None:
+    """Delete what may as well stay if the store is away."""
+    with contextlib.suppress(Exception):
+        delete(spark, path)
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Move ``source`` to ``target``; refuses to replace what is there."""
     fs, jsource = _open(spark, source)
@@ -113,3 +121,18 @@ def read_text(spark: SparkSession, path: str) -> str:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def read_heads(spark: SparkSession, paths: list[str], size: int) -> list[bytes]:
+    """The first bytes of each file."""
+
+    def head(path: str) -> bytes:
+        fs, jpath = _open(spark, path)
+        stream = fs.open(jpath)
+        try:
+            return bytes(stream.readNBytes(size))
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(head, paths))

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.keys import missing_rows
-from ..operators.sizing import cut_to_keys, key_span
-from ..sinks.segments import SegmentedTable
+from ..operators import sizing
+from ..sinks.replica import Replica
 
 MODES = ("insert_missing", "upsert")
 REPLACES = "__replaces"
@@ -16,7 +15,7 @@ REPLACES = "__replaces"
 
 def replicate_stream(
     stream: DataFrame,
-    replica: SegmentedTable,
+    replica: Replica,
     key: str,
     checkpoint: str,
     mode: str = "insert_missing",
@@ -30,8 +29,9 @@ def replicate_stream(
     among equal ones the greatest by the other columns in their order.  So the table is
     the same however the stream is cut into batches and in whichever order rows arrive.
     ``insert_missing`` adds the rows whose key the replica does not have, of a key that
-    a batch holds several times the greatest; what is there first stays.  The batch
-    number is part of each commit, so a batch that Spark runs again after a failure is
+    a batch holds several times the greatest; what is there first stays.  A batch looks
+    its keys up: it reads the pages of the replica that may hold them, not its key column.
+    The batch number is part of each change, so a batch that Spark runs again after a failure is
     applied once; a full replay with a new checkpoint adds nothing either, because its
     keys are there.
     """
@@ -47,10 +47,14 @@ def replicate_stream(
         batch = batch.persist()
         try:
             if mode == "insert_missing":
-                one = greatest_rows(batch, key)
-                replica.publish(missing_rows(one, replica.read(), key), None, (position, number))
+                one, keys = greatest_rows(batch, key), batch.select(key)
+                present = replica.holding(keys, [key]).distinct()  # not more keys than the batch has
+                if sizing.measured_bytes(keys) <= sizing.BROADCAST_BYTES:
+                    present = F.broadcast(present)
+                replica.publish(one.join(present, key, "left_anti"), None, (position, number))
             else:
-                newer = newer_rows(batch, replica.read(), key, modified)
+                there = replica.holding(batch.select(key), batch.columns)
+                newer = newer_rows(batch, there, key, modified)
                 older = newer.where(F.col(REPLACES)).select(key)
                 replica.publish(newer, lambda _: older, (position, number))
             replica.tidy()
@@ -75,16 +79,14 @@ def greatest_rows(batch: DataFrame, key: str, modified: str | None = None) -> Da
     return one.unionByName(batch.where(F.col(key).isNull()))
 
 
-def newer_rows(batch: DataFrame, target: DataFrame, key: str, modified: str) -> DataFrame:
-    """The rows of ``batch`` that are the greatest of their key and greater than what ``target`` has;
-    ``__replaces`` tells whether ``target`` has that key.
+def newer_rows(batch: DataFrame, there: DataFrame, key: str, modified: str) -> DataFrame:
+    """The rows of ``batch`` that are the greatest of their key and greater than the rows of it in ``there``;
+    ``__replaces`` tells whether there are any.
 
-    Rows without a key are all kept.
+    ``there`` may hold rows of other keys.  Rows without a key are all kept.
     """
-    types = {f.name: f.dataType for f in target.schema.fields}
+    types = {f.name: f.dataType for f in there.schema.fields}
     batch = batch.select(*[F.col(c).cast(types[c]).alias(c) if c in types else c for c in batch.columns])
-    keys = batch.select(key).where(F.col(key).isNotNull())
-    there = cut_to_keys(target.select(*batch.columns), keys, key, key_span(keys))
     there = there.groupBy(key).agg(F.max(_order(batch.columns, key, modified)).alias("__there"))
     latest = greatest_rows(batch, key, modified)
     later = F.col("__there").isNull() | (_order(batch.columns, key, modified) > F.col("__there"))

@@ -4,14 +4,17 @@ import bz2
 import codecs
 import gzip
 import inspect
+import io
 import itertools
 import os
+import random
 import re
 
 import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from carrack import fixtures, storage
 from carrack.operators import numbering
@@ -20,6 +23,9 @@ from carrack.oracles import ORACLES
 from carrack.plans.merge import merge_shards
 from carrack.sinks import files
 from carrack.session import scratch_path
+from carrack.sources import decoding
+from carrack.sources import lines as line_source
+from carrack.sources import shards as sources
 from carrack.sources.shards import list_shards, scan_shards
 
 
@@ -283,3 +289,113 @@ def test_names_of_many_pieces_sort_as_their_numbers():
     assert "{piece:09d}" in inspect.getsource(fixtures.text_shards) and "VARCHAR), 9, '0')" in ORACLES["shard_scan"]
     padded = "SELECT lpad(CAST(k AS VARCHAR), greatest(8, length(CAST(k AS VARCHAR)))::INTEGER, '0') FROM (VALUES (123456789), (5)) v(k)"
     assert [r[0] for r in duckdb.sql(padded).fetchall()] == ["123456789", "00000005"]
+
+
+# Shards that Spark's reader cannot decode
+
+TEXT = "h\r\n1 é€\U0001f600\r2\n\n3 still 3\x85\x0b\n last"
+
+
+def scanned(spark, folder, codec="auto"):
+    """Lines by file, in their order."""
+    found = {}
+    rows = scan_shards(spark, list_shards(spark, folder, codec)).collect()
+    for r in sorted(rows, key=lambda r: (r["file_name"], r["block_start"], r["line_id"])):
+        found.setdefault(r["file_name"], []).append(r["line"])
+    return found
+
+
+def test_marked_encodings_and_lzw(spark, tmp_path):
+    shards = {"plain.txt": TEXT.encode(), "z.csv.Z": fixtures.lzw_compressed(TEXT.encode())}
+    for mark, name in decoding.MARKS:
+        shards[f"{name}.txt"] = mark + TEXT.encode(name)
+        shards[f"{name}.csv.gz"] = mark + TEXT.encode(name)
+        shards[f"{name} x.Z"] = fixtures.lzw_compressed(mark + TEXT.encode(name))
+    folder = write(tmp_path / "in", shards)
+    (tmp_path / "in" / "zzz.txt").write_bytes(codecs.BOM_UTF16_LE)
+    assert scanned(spark, folder) == {name: lines_of(TEXT) for name in shards}
+    result = merge_shards(spark, folder, str(tmp_path / "m.csv"), 0, 1)
+    assert read(result.paths)[0] == ["h"] + [x for x in lines_of(TEXT)[1:] if x.strip()] * len(shards)
+
+
+def test_what_cannot_be_decoded_is_replaced(spark, tmp_path):
+    data = codecs.BOM_UTF16_LE + "a\nb".encode("utf-16-le") + b"\x00\xd8\n\x00c"
+    folder = write(tmp_path / "in", {"a.txt": data, "b.Z": fixtures.lzw_compressed(b"x\xff\xfey\nz")})
+    assert scanned(spark, folder) == {"a.txt": ["a", "b�", "�"], "b.Z": ["x��y", "z"]}
+
+
+def test_lzw_only_and_damaged(spark, tmp_path):
+    good = fixtures.lzw_compressed(b"1\n2\n" * 5000, 12, 700)
+    folder = write(tmp_path / "in", {"a.Z": good, "b.z": good})
+    assert scanned(spark, folder, "lzw") == {"a.Z": ["1", "2"] * 5000, "b.z": ["1", "2"] * 5000}
+    with pytest.raises(ValueError):
+        list_shards(spark, folder, "txt")
+    for number, bad in enumerate([b"no lzw", good[:3] + b"\xff" * 40, b"\x1f\x9d\x1f" + good[3:]]):
+        folder = write(tmp_path / f"bad{number}", {"a.Z": bad})
+        with pytest.raises(Exception, match="LZW"):
+            scanned(spark, folder)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=3000), st.sampled_from([9, 10, 12, 16]), st.sampled_from([None, 40, 300]), st.integers(1, 50))
+def test_lzw_gives_back_what_was_packed(data, most, clear_after, step):
+    packed = fixtures.lzw_compressed(data * step, most, clear_after)
+    assert b"".join(decoding.lzw(packed[n : n + 7] for n in range(0, len(packed), 7))) == data * step
+
+
+def member_shard(rng, n, size=3000):
+    """Text cut into gzip members anywhere, inside lines and line ends and characters too."""
+    text = "".join(f"{k} {rng.choice(['', 'é', f'{rng.getrandbits(1600):x}'])}" + rng.choice(["\n", "\r\n", "\r", "\r\n\r\n"]) for k in range(n))
+    data = text.encode()
+    cuts = sorted({0, len(data), *(rng.randrange(len(data)) for _ in range(len(data) // size))})
+    return data, b"".join(gzip.compress(data[a:b]) for a, b in zip(cuts, cuts[1:]))
+
+
+def test_members_of_a_large_gzip_shard_are_read_side_by_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sources, "MEMBER_RANGE", 6000)
+    monkeypatch.setattr(line_source, "PARTITION_BYTES", 1)
+    rng = random.Random(6)
+    (tmp_path / "in").mkdir()
+    whole = {}
+    for name in ("a.csv.gz", "b.csv.gz"):
+        data, packed = member_shard(rng, 2500)
+        (tmp_path / "in" / name).write_bytes(packed + b"\0" * 9)
+        whole[name] = lines_of(data.decode())
+    single = "\n".join(str(rng.random()) for _ in range(3000))
+    (tmp_path / "in" / "c.gz").write_bytes(gzip.compress(single.encode()))
+    whole["c.gz"] = single.split("\n")
+    shards = list_shards(spark, str(tmp_path / "in"))
+    tasks = sources.plan_tasks(spark, shards)
+    assert {t["name"] for t in tasks} == {"a.csv.gz", "b.csv.gz"} and len(tasks) >= 20
+    read_by = scan_shards(spark, shards).where("file_name <> 'c.gz'").select(F.spark_partition_id()).distinct().count()
+    assert read_by >= 20
+    assert scanned(spark, str(tmp_path / "in")) == whole
+    numbered = number_lines(spark, shards, scratch_path(spark, "lines"), 0, 2).lines.collect()
+    assert {(r["file_name"], r["line_no"]): r["line"] for r in numbered} == {
+        (name, n): line for name, found in whole.items() for n, line in enumerate(found) if line.strip() and (name == "a.csv.gz" or n >= 2)
+    }
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"bc", b"\n", b"\r", b"\r\n", b""]), max_size=14), st.data())
+def test_every_line_belongs_to_one_range_of_members(pieces, data):
+    packed, starts = b"", []
+    for piece in pieces:
+        starts.append(len(packed))
+        packed += gzip.compress(piece, mtime=0)
+    edges = sorted({0, *data.draw(st.sets(st.sampled_from(starts)) if starts else st.just(set()))})
+    got = []
+    for start, end in zip(edges, [*edges[1:], None]):
+        found = decoding.owned(decoding.members(io.BytesIO(packed), start), start, end)
+        got += [line.decode() for part in decoding.lines(found) for line in part]
+    assert got == lines_of(b"".join(pieces))
+
+
+def test_damaged_gzip_and_false_starts_raise(spark, tmp_path):
+    data, packed = member_shard(random.Random(1), 400)
+    with pytest.raises(EOFError):
+        list(decoding.members(io.BytesIO(packed[:-5]), 0))
+    with pytest.raises(ValueError, match="no gzip member"):
+        list(decoding.owned(decoding.members(io.BytesIO(packed), 0), 0, len(packed) // 2))
+    assert decoding.first_member(io.BytesIO(b"\x1f\x8b\x08\x00 no" + packed), 0, 50) == 7
+    assert decoding.first_member(io.BytesIO(b"x" * 3_000_000), 0, 3_000_000) is None

@@ -12,7 +12,7 @@ from carrack.operators import keys, sizing
 from carrack.operators.versions import Watermark, changed_keys, delta_rows, watermark
 from carrack.plans.sync import SyncRule, create_replica, replica_mark, sync_dataset, sync_replica, sync_summary, target_mark
 from carrack.session import scratch_path
-from carrack.sinks import segments
+from carrack.sinks import replica as replicas
 from carrack.streaming.replicate import replicate_stream
 
 COLUMNS = "k BIGINT, v STRING, cv BIGINT, mv BIGINT"
@@ -196,12 +196,11 @@ def test_partitioned_and_clustered_replica(spark):
     assert rows(by_name.read()) == rows(source)
 
 
-def test_old_commit_records_are_removed(spark, monkeypatch):
-    monkeypatch.setattr(segments, "KEPT_RECORDS", 2)
+def test_old_pointers_are_removed(spark):
     replica = create_replica(spark, scratch_path(spark, "test"), frame(spark), RULE)
     for i in range(4):
         replica.publish(frame(spark, (i, "a", 1, 1)))
-    assert len(storage.list_dir(spark, f"{replica.path}/_commits")) == 2
+    assert len(storage.list_dir(spark, f"{replica.path}/current")) == 2
     assert replica.state().version == 4 and replica.read().count() == 4
 
 
@@ -213,7 +212,7 @@ def test_compact_keeps_the_rows(spark):
     before = rows(replica.read())
     replica.compact()
     assert rows(replica.read()) == before == [(1, "a3", 1, 3), (2, "b", 1, 1), (3, "c", 2, 3)]
-    assert [s.number for s in replica.state().segments] == [4]
+    assert list(replica.state().parts.values()) == [3] and not replica.state().replaced
     sync_replica(replica, frame(spark, (2, "b2", 1, 4)), RULE)
     assert rows(replica.read()) == [(1, "a3", 1, 3), (2, "b2", 1, 4), (3, "c", 2, 3)]
     replica.drop()
@@ -236,20 +235,19 @@ def test_mark_of_a_replica_prunes_and_stays_exact(spark):
     assert replica.read().where("k = 7").count() == 1
 
 
-def attempts(spark, replica, number):
-    folder = f"{replica.path}/rows/__seg={number}"
+def parts_on_disk(spark, replica):
+    folder = f"{replica.path}/data"
     return [e.name for e in storage.list_dir(spark, folder)] if storage.exists(spark, folder) else []
 
 
 @pytest.mark.parametrize("change", ["publish", "compact"])
 def test_a_failure_after_the_commit_keeps_the_rows(spark, monkeypatch, change):
-    monkeypatch.setattr(segments, "KEPT_RECORDS", 1)
     source = frame(spark, (1, "a", 1, 1), (2, "b", 1, 1))
     replica = replica_of(spark, source, source)
     delete = storage.delete
 
     def failing(spark, path):
-        if "_commits" in path:
+        if "/current/" in path:
             raise OSError("the store is away")
         delete(spark, path)
 
@@ -284,7 +282,7 @@ def test_an_interrupt_right_after_the_commit_keeps_the_rows(spark, monkeypatch,
 def test_a_second_writer_fails_and_takes_nothing_away(spark, monkeypatch):
     source = frame(spark, (1, "a", 1, 1))
     first = replica_of(spark, source, source)
-    late = segments.SegmentedTable(spark, first.path)
+    late = replicas.Replica(spark, first.path)
     stale = late.state()
     first.publish(frame(spark, (2, "b", 2, 2)))
     before = rows(first.read())
@@ -294,7 +292,7 @@ def test_a_second_writer_fails_and_takes_nothing_away(spark, monkeypatch):
     with pytest.raises(FileExistsError):
         late.compact()
     assert rows(first.read()) == before == [(1, "a", 1, 1), (2, "b", 2, 2)]
-    assert len(attempts(spark, first, 2)) == 1
+    assert len(parts_on_disk(spark, first)) == 2
 
 
 def test_reads_planned_before_a_compaction_still_run(spark):
@@ -309,18 +307,82 @@ def test_reads_planned_before_a_compaction_still_run(spark):
     assert rows(replica.read()) == [(1, "a2", 1, 2), (2, "b2", 1, 3)]
 
 
-def test_segments_stay_few_and_reading_starts_no_job(spark):
+def test_parts_stay_few_and_reading_starts_no_job(spark, monkeypatch):
+    monkeypatch.setattr(replicas, "MOST_PARTS", 4)
     source = frame(spark, *[(k, "a", 1, 1) for k in range(200)])
     replica = replica_of(spark, source, source)
-    for version in range(2, 26):
-        sync_replica(replica, frame(spark, (7, f"v{version}", 1, version)), RULE)
-    assert len(replica.state().segments) <= segments.FEW_SEGMENTS
+    for version in range(2, 14):
+        sync_replica(replica, frame(spark, (7, f"v{version}", 1, version), (1000 + version, "n", version, version)), RULE)
+    assert len(replica.state().parts) <= 4
     tracker = spark.sparkContext.statusTracker()
     before = len(tracker.getJobIdsForGroup())
     live = replica.read()
     assert len(tracker.getJobIdsForGroup()) == before
-    assert live.count() == 200 and live.where("k = 7").collect() == [(7, "v25", 1, 25)]
-    assert replica.state().segments[0].n_rows == 200
+    assert live.count() == 212 and live.where("k = 7").collect() == [(7, "v13", 1, 13)]
+    replica.vacuum()
+    assert len(parts_on_disk(spark, replica)) == len(replica.state().parts) and live.count() == 212
+
+
+def test_only_touched_buckets_are_copied(spark, monkeypatch):
+    monkeypatch.setattr(replicas, "BUCKET_ROWS", 100)
+    source = frame(spark, *[(k, "a", 1, 1) for k in range(1600)], (None, "none", 1, 1), (None, "none", 1, 1))
+    replica = replica_of(spark, source, source)
+    assert replica.state().bits == 0
+    replica.tidy()
+    assert replica.state().bits == 5 and rows(replica.read()) == rows(source)
+    folders = lambda part: {e.name for e in storage.list_dir(spark, f"{replica.path}/data/__part={part}") if e.is_dir}
+    [first] = replica.state().parts
+    assert 24 < len(folders(first)) <= 32
+    sync_replica(replica, frame(spark, (3, "new", 1, 2), (5, "new", 1, 2), (9000, "x", 2, 2)), RULE)
+    state = replica.state()
+    assert len(state.replaced[first]) <= 2 and sum(len(folders(p)) for p in state.parts if p != first) <= 5
+    expected = [r for r in rows(source) if r[0] not in (3, 5)] + [(3, "new", 1, 2), (5, "new", 1, 2), (9000, "x", 2, 2)]
+    assert rows(replica.read()) == sorted(expected, key=repr)
+    wanted = spark.createDataFrame([(3,), (9000,), (77,), (-1,), (None,)], "k long")
+    found = [(3, "new", 1, 2), (77, "a", 1, 1), (9000, "x", 2, 2)]
+    assert rows(replica.holding(wanted)) == sorted(found, key=repr)
+    monkeypatch.setattr(replicas, "LOOKUP_RANGES", 2)
+    assert rows(replica.holding(wanted)) == sorted(found, key=repr)
+    monkeypatch.setattr(replicas, "LOOKUP_KEYS", 2)
+    assert rows(replica.holding(wanted)) == sorted(found, key=repr)
+    assert replica.holding(wanted.limit(0)).count() == 0
+    assert replicas._ranges([9, -(1 << 63), 8, 5]) == [(-(1 << 63), -(1 << 63)), (5, 9)]
+    large = replicas.Replica.create(spark, scratch_path(spark, "test"), source.schema, "k", expected_rows=1600)
+    assert large.state().bits == 4
+
+
+def bytes_read(spark, df):
+    """What the tasks of one run of ``df`` read from files."""
+    context = spark.sparkContext._jsc.sc()
+    doubles = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+
+    def stages():
+        found = context.statusStore().stageList(None, False, False, doubles, spark._jvm.java.util.ArrayList())
+        return {found.apply(n).stageId(): found.apply(n).inputBytes() for n in range(found.size())}
+
+    before = stages()
+    df.collect()
+    context.listenerBus().waitUntilEmpty(10_000)
+    return sum(size for stage, size in stages().items() if stage not in before)
+
+
+def test_a_look_up_reads_as_much_of_a_replica_ten_times_as_large(spark, monkeypatch):
+    monkeypatch.setattr(replicas, "BUCKET_ROWS", 10_000)
+    # Vectored reads run in threads of their own, which the count of bytes leaves out.
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.hadoop.vectored.io.enabled", "false")
+    read, point = [], []
+    for n in (300_000, 3_000_000):
+        table = spark.range(n).select("id", F.md5(F.col("id").cast("string")).alias("v"))
+        replica = replicas.Replica.create(spark, scratch_path(spark, "test"), table.schema, "id", expected_rows=n)
+        replica.publish(table)
+        keys = spark.createDataFrame([(k * n // 8 + 1,) for k in range(16)], "id long")  # half of them are there
+        found = replica.holding(keys, ["id"])
+        assert rows(found) == sorted(((k * n // 8 + 1,) for k in range(8)), key=repr)
+        read.append(bytes_read(spark, found))
+        point.append(bytes_read(spark, replica.read().where("id = 77")))
+        everything = bytes_read(spark, replica.read().select("id"))
+    assert read[1] < 2 * read[0] and read[1] < everything / 4, (read, everything)
+    assert point[1] < everything / 2, (point, everything)
 
 
 def test_text_partitions_keep_empty_and_null_apart(spark):
@@ -346,7 +408,7 @@ def test_failed_publish_changes_nothing(spark):
     with pytest.raises(ZeroDivisionError):
         replica.publish(source, lambda rows: 1 // 0)
     assert rows(replica.read()) == [(1, "a", 1, 1)]
-    assert attempts(spark, replica, 2) == []
+    assert parts_on_disk(spark, replica) == [f"__part={part}" for part in replica.state().parts]
     replica.publish(source)
     assert replica.read().count() == 2
 
