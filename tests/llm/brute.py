@@ -103,3 +103,9 @@ def substring_dedup(rows, length=50):
                 gone[n : n + length] = [True] * length
         out.append((doc_id, len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g)))
     return out
+
+
+def shingles(text, n=5):
+    """The set of the n-word shingles of a text; of fewer words the whole sequence."""
+    words = WORD.findall(lower(text or ""))
+    return {" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()

@@ -235,8 +235,8 @@ def test_pipeline_stages(spark):
     given = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert pairs(stages["line_dedup"](spark, docs, "")) == sorted((r[0], r[3]) for r in brute.line_dedup(given))
     assert pairs(stages["substring_dedup"](spark, docs, "")) == sorted((r[0], r[3]) for r in brute.substring_dedup(given))
-    prints = [brute.fingerprint(t, 5) for _, t in given]
-    at = brute.components(len(given), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
+    sets = [brute.shingles(t) for _, t in given]
+    at = brute.components(len(given), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
     least = {given[min(m for m in range(len(given)) if at[m] == a)][0] for a in at}
     assert sorted(r["doc_id"] for r in stages["simhash_near_dedup"](spark, docs, "").collect()) == sorted(least)
     packed = stages["best_fit_packing"](spark, docs, "").collect()
