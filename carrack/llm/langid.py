@@ -48,8 +48,11 @@ LAYER_RATE = 1.0
 KEEP = 0.99
 #: Texts of random letters for each document of the sample.
 NOISE = 0.25
-#: Words that a Python worker remembers with what they add.
-WORDS_KEPT = 400_000
+#: Bytes of words that a Python worker remembers with what they add, about, and what an entry takes beside its word.
+KEPT_BYTES = 48 << 20
+ENTRY_BYTES = 180
+#: Characters of new words that are looked up at a time, but for one longer word.
+LEARNT_CHARS = 400_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -201,11 +204,17 @@ class _Scorer:
     def __init__(self, model: LanguageModel):
         self.model = model
         self.known: dict[str, int] = {}
+        self.held = 0
         self.added = np.zeros((1024, model.rows.shape[1] + 1), np.float32)
 
     def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+        cuts = np.searchsorted(ends, np.arange(LEARNT_CHARS, ends[-1] if len(new) else 0, LEARNT_CHARS), "right").tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(new)]):
+            part = new[a:b]
+            if not part:
+                continue
+            self.held += ENTRY_BYTES * len(part) + 2 * sum(map(len, part))
             rows, owners = gram_rows(part)
             sums = np.zeros((len(part), self.added.shape[1]), np.float32)
             starts = np.searchsorted(owners, np.arange(len(part)))
@@ -223,8 +232,9 @@ class _Scorer:
         """Language, score and whether it is rejected, for each text."""
         split = [words_of(t) for t in batch]
         met = set().union(*split)
-        if len(self.known) + len(met - self.known.keys()) > WORDS_KEPT:
+        if self.held > KEPT_BYTES:
             self.known.clear()
+            self.held = 0
         self._learn(sorted(met - self.known.keys()))
         totals = np.zeros((len(batch), self.added.shape[1]))
         for n, words in enumerate(split):

@@ -34,8 +34,10 @@ SEQUENCE = 2048
 OPEN_BINS = 4096
 PIECES_PER_BATCH = 10_000
 BATCHES_PER_PART = 25
-#: Words that a Python worker remembers with their ids, in each of two generations.
-WORDS_KEPT = 250_000
+#: Bytes of words with their ids that a Python worker remembers, about, in each of two generations.
+KEPT_BYTES = 64 << 20
+#: What an entry takes beside its word and ids.
+ENTRY_BYTES = 180
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -54,12 +56,13 @@ class WordEncoder:
         #: Ids of words, of this generation and of the one before.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.held = 0
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.split() for t in texts]
-        if len(self.known) > WORDS_KEPT:  # words that are met again move to the new generation
-            self.older, self.known = self.known, {}
+        if self.held > KEPT_BYTES:  # words that are met again move to the new generation
+            self.older, self.known, self.held = self.known, {}, 0
         met = set().union(*split) - self.known.keys()
         again = met & self.older.keys()
         self.known.update((w, self.older[w]) for w in again)
@@ -67,6 +70,7 @@ class WordEncoder:
         encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
         self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
         known = self.known
+        self.held += sum(ENTRY_BYTES + len(w) + len(known[w]) for w in met)
         return [b"".join([known[w] for w in words]) for words in split]
 
 

@@ -31,8 +31,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .tables import documents, map_batches, texts
 
 MARK = "▁"
-#: Words that a Python worker remembers with their ids, in each of two generations.
-WORDS_KEPT = 250_000
+#: Bytes of words with their ids that a Python worker remembers, about, in each of two generations.
+KEPT_BYTES = 96 << 20
+#: What an entry takes beside its words and ids.
+ENTRY_BYTES = 300
 #: Symbols that are merged in one flat array, beside one longer word.
 FLAT_SYMBOLS = 1 << 20
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -89,6 +91,7 @@ class PieceModel:
         #: Ids and decimals of words, of this generation and of the one before.
         self.known: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.held = 0
 
     def _mark_run(self) -> int:
         """How many marks a long run can be cut into without changing its ids; 0: it is not cut.
@@ -201,7 +204,9 @@ class PieceModel:
                     symbols, ends = self._merge(group)
                     raw, decimal, start = symbols.astype("<u4").tobytes(), [self.decimal[i] for i in symbols.tolist()], 0
                     for known, end in zip(group, ends.tolist()):
-                        self.known[known] = (raw[4 * start : 4 * end], b",".join(decimal[start:end]))
+                        entry = raw[4 * start : 4 * end], b",".join(decimal[start:end])
+                        self.known[known] = entry
+                        self.held += ENTRY_BYTES + 4 * len(known) + len(entry[0]) + len(entry[1])
                         start = end
                 group, size = [], 0
             if word is not None:
@@ -210,11 +215,12 @@ class PieceModel:
 
     def _words(self, batch: list[str]) -> list[list[str]]:
         split = [self._split(t) for t in batch]
-        if len(self.known) > WORDS_KEPT:  # words that are met again move to the new generation
-            self.older, self.known = self.known, {}
+        if self.held > KEPT_BYTES:  # words that are met again move to the new generation
+            self.older, self.known, self.held = self.known, {}, 0
         new = set().union(*split) - self.known.keys()
         again = new & self.older.keys()
         self.known.update((w, self.older[w]) for w in again)
+        self.held += sum(ENTRY_BYTES + 4 * len(w) + sum(map(len, self.older[w])) for w in again)
         self._learn(new - again)
         return split
 

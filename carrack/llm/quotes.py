@@ -1,11 +1,13 @@
 """Quotation linking for conversations, in DataFrame operations only.
 
-1. Lines that begin with ``>`` are quotations; the number of marks is their level.
-2. The other lines are the message's own text.  Its paragraphs and lines, normalised
-   (lower case, white space folded) and hashed, are what others can quote.
+1. Lines that begin with ``>`` are quotations; the number of marks is their level.  Up to
+   three blanks may stand before a mark; a line that is indented further is no quotation.
+2. The other lines are the message's own text.  Its paragraphs, lines and sentences,
+   normalised (lower case, white space folded) and hashed, are what others can quote.
 3. Quoted lines of one level in a row are a passage, hashed in the same way by
-   paragraph and line, and joined on conversation and hash to the first message that
-   holds it as its own text.
+   paragraph, line and sentence, and joined on conversation and hash to the first message
+   that holds it as its own text.  So a quotation may be trimmed to whole sentences, and
+   be wrapped in other places.
 4. A message replies to the source of a quotation of its lowest linked level, of the
    longest passage there, and of the earliest of equal ones.
 5. Pointer doubling gives the root and depth of each message.
@@ -16,7 +18,8 @@ of all messages share gives each of them one row, not a pair with every other.
 
 Cases: a message without a linked quotation is a root; a quotation of the message
 itself or of a later one links nothing; null and empty texts stay as empty messages;
-rows that share conversation and turn are one message for linking and stay rows; rows
+rows that share conversation and turn are one message for linking, equal ones count
+once, and all stay rows; rows
 without conversation or turn are roots of depth 0.  An empty table gives an empty table.
 """
 
@@ -27,7 +30,9 @@ from pyspark.sql import functions as F
 
 from .tables import written
 
-MARKS = r"^(?:[ \t]*>)+"
+MARKS = r"^(?: {0,3}>)+"
+#: Where a sentence of a normalised paragraph ends.
+SENTENCE_END = r"(?<=[.!?]) |(?<=[。！？]) ?"
 
 
 def _lines(text: Column) -> Column:
@@ -43,9 +48,11 @@ def normalised(passage: Column) -> Column:
 
 
 def _hashes(passage: Column) -> Column:
-    """``hash, size`` of the paragraphs and lines of a passage."""
-    parts = F.array_distinct(F.concat(F.split(passage, r"\n[ \t]*\n"), F.split(passage, r"\n")))
-    filled = F.filter(F.transform(parts, normalised), lambda p: F.length(p) > 0)
+    """``hash, size`` of the paragraphs, lines and sentences of a passage."""
+    paragraphs = F.transform(F.split(passage, r"\n[ \t]*\n"), normalised)
+    sentences = F.flatten(F.transform(paragraphs, lambda p: F.split(p, SENTENCE_END)))
+    lines = F.transform(F.split(passage, r"\n"), normalised)
+    filled = F.filter(F.concat(paragraphs, sentences, lines), lambda p: F.length(p) > 0)
     return F.transform(
         F.array_distinct(filled), lambda p: F.struct(F.sha2(p, 256).alias("hash"), F.length(p).alias("size"))
     )
@@ -62,7 +69,7 @@ def own_text(text: Column) -> Column:
 
 def quoted_passages(messages: DataFrame) -> DataFrame:
     """``conv_id, turn, level, passage``: quoted lines of one level in a row, without their marks."""
-    quoting = messages.where(F.col("text").rlike("(?m)" + MARKS)).select(
+    quoting = messages.where(F.col("text").rlike("(?m)" + MARKS)).distinct().select(
         "conv_id", "turn", F.xxhash64("text").alias("copy"), F.posexplode(_lines(F.col("text"))).alias("n", "line")
     )
     message = Window.partitionBy("conv_id", "turn", "copy").orderBy("n")
@@ -150,7 +157,7 @@ ORACLE = r"""
 WITH lines AS (
   SELECT conv_id, turn, role, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM conversations
 ), quoting AS (
-  SELECT conv_id, turn, bool_or(regexp_matches(line, '^([ \t]*>)+')) AS quotes FROM lines GROUP BY conv_id, turn
+  SELECT conv_id, turn, bool_or(regexp_matches(line, '^( {0,3}>)+')) AS quotes FROM lines GROUP BY conv_id, turn
 )
 SELECT conv_id, turn, role, CAST(NULL AS BIGINT) AS parent_turn, turn AS root_turn, 0::BIGINT AS depth,
        0::BIGINT AS quotations, coalesce(text, '') AS own_text

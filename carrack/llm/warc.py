@@ -3,8 +3,10 @@
 Writing: a task writes its rows as records to archives of about ``ROLL_BYTES`` of
 payload.  A record is one gzip member whose ``sl`` field tells its compressed length, so
 a reader can go to the next record without inflating this one.  The archives get names
-of their own per attempt, and a list of those of the successful attempts is written at
-commit, so lost or repeated tasks leave nothing that is read.
+of their own per attempt, and every write ends with a list, under a fresh name, of those
+of its successful attempts, so lost or repeated tasks and failed writes leave nothing
+that is read, and writes at the same time lose nothing.  A marker tells folders of this
+source from those of other tools, where all archives are read.
 
 Reading: each archive is a partition.  Equality and membership predicates on the record
 type and the other header columns are pushed down.  Of a record, the headers are
@@ -66,7 +68,7 @@ SCHEMA = (
 HEADER_COLUMNS = ("record_id", "record_type", "target_uri", "payload_digest", "refers_to")
 ROLL_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20
-LIST = "_archives.json"
+MARKER = "_archives"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _GZIP = b"\x1f\x8b\x08"
 
@@ -159,21 +161,22 @@ class _Plain:
 
 def _fields(lines: bytes) -> dict[str, str]:
     found: dict[str, str] = {}
-    for line in lines.decode("utf-8", "replace").split("\r\n")[1:]:
+    for line in lines.decode("utf-8", "replace").split("\n")[1:]:
         name, colon, value = line.partition(":")
         if colon:
             found[name.strip().lower()] = value.strip()
     return found
 
 
-def _head(source: _Member | _Plain, at: int) -> int:
-    """Where the header that starts at ``at`` ends, its blank line included; -1 without one."""
+def _head(source: _Member | _Plain, at: int, limit: int | None = None) -> int:
+    """Where the header that starts at ``at`` ends, its blank line included; -1 if that is not before ``limit``."""
     size = at + 512
     while True:
-        data = source.have(size)
-        if (end := data.find(b"\r\n\r\n", at)) >= 0:
-            return end + 4
-        if len(data) < size:
+        data = source.have(size if limit is None else min(size, limit))
+        ends = [end + len(mark) for mark in (b"\r\n\r\n", b"\n\n") if (end := data.find(mark, at, limit)) >= 0]
+        if ends:
+            return min(ends)
+        if len(data) < size or limit is not None and size >= limit:
             return -1
         size *= 2
 
@@ -195,7 +198,7 @@ def records(file: BinaryIO, wanted, with_payload: bool) -> Iterator[dict[str, An
             raise ValueError(f"a record at byte {start} has no complete header")
         fields = _fields(bytes(source.data[:end]))
         length = int(fields.get("content-length", 0))
-        source.length = end + length + 4
+        source.length = end + length  # the line ends behind it are skipped as blank
         row: dict[str, Any] = {
             "record_id": fields.get("warc-record-id", "").strip("<>") or None,
             "record_type": fields.get("warc-type"),
@@ -206,7 +209,7 @@ def records(file: BinaryIO, wanted, with_payload: bool) -> Iterator[dict[str, An
         }
         if wanted(row):
             at, size = end, length
-            if fields.get("content-type", "").startswith("application/http") and (after := _head(source, end)) > 0:
+            if fields.get("content-type", "").startswith("application/http") and (after := _head(source, end, end + length)) > 0:
                 http = _fields(bytes(source.data[end:after]))
                 at, size = after, length - (after - end)
                 if row["record_type"] == "revisit":
@@ -241,14 +244,12 @@ class WarcReader(DataSourceReader):
         from pyarrow.fs import FileSelector, FileType
 
         files, root = _files(self.path)
-        found = files.get_file_info(root)
-        if found.type == FileType.File:
+        if files.get_file_info(root).type == FileType.File:
             return [_Archive(root)]
-        if files.get_file_info(f"{root}/{LIST}").type == FileType.File:
-            with files.open_input_stream(f"{root}/{LIST}") as source:
-                return [_Archive(f"{root}/{name}") for name in json.loads(source.read())]
-        names = [x.path for x in files.get_file_info(FileSelector(root)) if x.type == FileType.File]
-        return [_Archive(x) for x in sorted(names) if x.endswith((".warc", ".warc.gz"))]
+        names = [x.base_name for x in files.get_file_info(FileSelector(root)) if x.type == FileType.File]
+        if MARKER in names:
+            return [_Archive(f"{root}/{name}") for name in _listed(files, root, names)]
+        return [_Archive(f"{root}/{x}") for x in sorted(names) if x.endswith((".warc", ".warc.gz"))]
 
     def read(self, partition: _Archive | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark makes one partition if none is planned
@@ -271,6 +272,30 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, target)
 
 
+def _mark(files, root: str) -> None:
+    """Make a folder one of this source: from here on only listed archives are read."""
+    files.create_dir(root, recursive=True)
+    with files.open_output_stream(f"{root}/{MARKER}"):
+        pass
+
+
+def _lists(files, root: str) -> list[str]:
+    from pyarrow.fs import FileSelector
+
+    names = [x.base_name for x in files.get_file_info(FileSelector(root))]
+    return [x for x in names if x.startswith(f"{MARKER}-") and x.endswith(".json")]
+
+
+def _listed(files, root: str, names: list[str]) -> list[str]:
+    """The archives of all writes that have ended."""
+    found = []
+    for name in names:
+        if name.startswith(f"{MARKER}-") and name.endswith(".json"):
+            with files.open_input_stream(f"{root}/{name}") as source:
+                found += json.loads(source.read())
+    return sorted(found)
+
+
 class _Written(WriterCommitMessage):
     def __init__(self, names: list[str]):
         self.names = names
@@ -284,7 +309,7 @@ class WarcWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         files, root = _files(self.path)
-        files.create_dir(root, recursive=True)
+        _mark(files, root)
         names: list[str] = []
         out, size = None, 0
         try:
@@ -307,16 +332,14 @@ class WarcWriter(DataSourceArrowWriter):
         return _Written(names)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        from pyarrow.fs import FileType
-
         files, root = _files(self.path)
-        files.create_dir(root, recursive=True)
-        names = [name for m in messages if m is not None for name in m.names]
-        if not self.overwrite and files.get_file_info(f"{root}/{LIST}").type == FileType.File:
-            with files.open_input_stream(f"{root}/{LIST}") as source:
-                names = json.loads(source.read()) + names
-        with files.open_output_stream(f"{root}/{LIST}") as out:
-            out.write(json.dumps(sorted(names)).encode())
+        _mark(files, root)
+        earlier = _lists(files, root) if self.overwrite else []
+        names = sorted(name for m in messages if m is not None for name in m.names)
+        with files.open_output_stream(f"{root}/{MARKER}-{uuid.uuid4().hex}.json") as out:
+            out.write(json.dumps(names).encode())
+        for name in earlier:
+            files.delete_file(f"{root}/{name}")
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         files, root = _files(self.path)

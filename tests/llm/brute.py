@@ -109,3 +109,57 @@ def shingles(text, n=5):
     """The set of the n-word shingles of a text; of fewer words the whole sequence."""
     words = WORD.findall(lower(text or ""))
     return {" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
+
+
+MARKS = re.compile(r"(?: {0,3}>)+")
+
+
+def passages(text):
+    """The own text of a message, and (level, passage) of what it quotes."""
+    lines, quoted, kept, before = re.split("\r\n|\r|\n", text or ""), [], [], 0
+    for line in lines:
+        mark = MARKS.match(line)
+        level = mark.group().count(">") if mark else 0
+        body = re.sub("^[ \t]", "", line[mark.end() :]) if mark else line
+        if level and level == before:
+            quoted[-1][1].append(body)
+        elif level:
+            quoted.append((level, [body]))
+        before = level
+        kept.append("" if mark else line)
+    if not quoted:
+        return text or "", []
+    own = re.sub(r"\n[ \t]*\n(?:[ \t]*\n)*", "\n\n", "\n".join(kept))
+    return own.strip(" \t\n"), [(level, "\n".join(body)) for level, body in quoted]
+
+
+def parts(passage):
+    """The normalised paragraphs, sentences and lines."""
+    plain = lambda x: re.sub(r"[ \t\n\x0b\f\r]+", " ", x).strip(" ").lower()
+    paragraphs = [plain(p) for p in re.split(r"\n[ \t]*\n", passage)]
+    sentences = [x for p in paragraphs for x in re.split(r"(?<=[.!?]) |(?<=[。！？]) ?", p)]
+    return {x for x in [*paragraphs, *sentences, *map(plain, passage.split("\n"))] if x}
+
+
+def linked(rows):
+    """``(conv_id, turn, parent, root, depth, quotations, own text)`` of ``(conv_id, turn, role, text)``."""
+    first, parent, counts = {}, {}, {}
+    known = [r for r in rows if r[0] is not None and r[1] is not None]
+    for conv, turn, _, text in known:
+        for part in parts(passages(text)[0]):
+            first[conv, part] = min(turn, first.get((conv, part), turn))
+    for conv, turn, text in {(r[0], r[1], r[3]) for r in known}:
+        for level, passage in passages(text)[1]:
+            for part in parts(passage):
+                source = first.get((conv, part))
+                if source is not None and source < turn:
+                    best = (level, -len(part), source)
+                    parent[conv, turn] = min(best, parent.get((conv, turn), best))
+                    counts[conv, turn] = counts.get((conv, turn), 0) + 1
+    out = []
+    for conv, turn, _, text in rows:
+        above, root, depth = parent.get((conv, turn)), turn, 0
+        while (conv, root) in parent:
+            root, depth = parent[conv, root][2], depth + 1
+        out.append((conv, turn, above and above[2], root, depth, counts.get((conv, turn), 0), passages(text)[0]))
+    return sorted(out, key=repr)

@@ -150,7 +150,7 @@ def test_sentencepiece_forgets_words_safely(monkeypatch):
     from sentencepiece import SentencePieceProcessor
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    monkeypatch.setattr(pieces, "WORDS_KEPT", 5)
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 2000)
     model, library = pieces.PieceModel(path), SentencePieceProcessor(model_file=path)
     for text in ["one two three", "four five six seven", "one two eight", "nine four one"] * 2:
         assert [x.tolist() for x in model.encode([text, "one"])] == [library.encode(text), library.encode("one")]

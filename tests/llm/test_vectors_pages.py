@@ -2,6 +2,7 @@
 
 import gzip
 import os
+import random
 
 import brute
 import duckdb
@@ -127,6 +128,46 @@ PAGES = [
 ]
 
 
+def quoting_rows(seed):
+    """Messages that quote whole, trimmed, wrapped, nested, repeated and indented passages of earlier ones."""
+    rng = random.Random(seed)
+    said = lambda: " ".join(rng.choice("alpha beta gamma delta Eps zeta".split()) for _ in range(rng.randrange(1, 5))) + rng.choice(".!?") + rng.choice(["", "", "。好！"])
+    rows = []
+    for conv in range(12):
+        texts = []
+        for turn in range(rng.randrange(1, 12)):
+            text = rng.choice(["\n", " ", "\n\n"]).join(said() for _ in range(rng.randrange(1, 5)))
+            for _ in range(rng.randrange(3) if texts else 0):
+                old = rng.choice(texts)
+                kind = rng.randrange(5)
+                if kind == 0:  # one sentence
+                    old = rng.choice([x for x in old.replace("\n", " ").split(". ") if x] or ["x"]) + "."
+                if kind == 1:  # wrapped elsewhere
+                    old = old.replace(" ", "\n", 2)
+                mark = rng.choice(["> ", ">", ">> ", "> > ", "  > ", "    > "])
+                text = "\n".join(mark + x for x in old.split("\n")) + rng.choice(["\n", "\r\n", "\n\n"]) + text
+            texts.append(text)
+            rows.append((conv, turn if rng.random() < 0.95 else None, "user", text))
+    return [*rows, rows[3], rows[5], (1, 50, "user", None), (None, 1, "user", "> alpha."), (2, 60, "user", "    > code\nown"), (2, 61, "bot", "> own")]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quotation_links_against_a_plain_linker(spark, seed):
+    rows = quoting_rows(seed)
+    frame = spark.createDataFrame([(*r, "h", 1) for r in rows], "conv_id long, turn long, role string, text string, hash string, level int")
+    columns = ["conv_id", "turn", "parent_turn", "root_turn", "depth", "quotations", "own_text"]
+    got = quotes.linked_conversations(frame.repartition(5)).select(*columns).collect()
+    assert sorted(map(tuple, got), key=repr) == brute.linked(rows)
+    assert sum(r["parent_turn"] is not None for r in got) > 20
+
+
+def test_a_trimmed_quotation_links(spark):
+    rows = [(1, 0, "u", "First one. The middle sentence is quoted. Last one."), (1, 1, "u", "> The middle\n> sentence is quoted.\nYes."), (1, 2, "u", "    > Yes.\ncode")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: (r["parent_turn"], r["own_text"]) for r in quotes.linked_conversations(frame).collect()}
+    assert got == {0: (None, rows[0][3]), 1: (0, "Yes."), 2: (None, rows[2][3])}
+
+
 def test_warc_round_trip(spark):
     warc.register(spark)
     frame = spark.createDataFrame([(*p, 1) for p in PAGES], "page_id long, url string, html string, payload_bytes int")
@@ -154,6 +195,48 @@ def test_warc_round_trip(spark):
     assert spark.read.format("warc").load(nothing).count() == 0
 
 
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, warc.member])
+def test_warc_headers_with_other_line_ends(spark, tmp_path, pack):
+    """A payload is never looked for behind its own record."""
+    warc.register(spark)
+
+    def one(block, line="\r\n"):
+        head = line.join(["WARC/1.0", "WARC-Type: response", "Content-Type: application/http", f"Content-Length: {len(block)}", "", ""])
+        return pack(head.encode() + block + b"\r\n\r\n")
+
+    blocks = {
+        b"HTTP/1.1 200 OK\nA: b\n\nbody\r\n\r\nmore": b"body\r\n\r\nmore",
+        b"HTTP/1.1 200 OK\r\nA: b": b"HTTP/1.1 200 OK\r\nA: b",
+        b"": b"",
+        b"x" * 5000: b"x" * 5000,
+        b"HTTP/1.1 200 OK\r\n\r\n": b"",
+        b"HTTP/1.1 200 OK\r\nLong: " + b"y" * 3000 + b"\r\n\r\nend": b"end",
+    }
+    data = b"".join(one(block) for block in blocks) + one(b"HTTP/1.1 200 OK\r\n\r\nlf", "\n")
+    (tmp_path / "a.warc").write_bytes(data)
+    rows = spark.read.format("warc").load(str(tmp_path)).collect()
+    assert [(r["payload_bytes"], bytes(r["payload"])) for r in rows] == [(len(x), x) for x in [*blocks.values(), b"lf"]]
+
+
+def test_warc_folder_lists_what_ended_well(spark):
+    warc.register(spark)
+    path = scratch_path(spark, "warc")
+    records = warc.page_records(spark.createDataFrame([(n, "u", f"page {n}") for n in range(40)], "page_id long, url string, html string"))
+    lost = F.when(F.col("record_id") == records.first()["record_id"], F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        records.repartition(4).withColumn("target_uri", lost.otherwise("x")).write.format("warc").mode("append").save(path)
+    assert spark.read.format("warc").load(path).count() == 0
+    writers = [warc.WarcWriter({"path": path}, False) for _ in range(2)]  # two appends at a time
+    for writer, n in zip(writers, (5, 7)):
+        batch = records.limit(n).toArrow().to_batches()
+        writer.commit([writer.write(iter(batch))])
+    assert spark.read.format("warc").load(path).count() == 12
+    records.write.format("warc").mode("append").save(path)
+    assert spark.read.format("warc").load(path).count() == 52
+    records.limit(3).write.format("warc").mode("overwrite").save(path)
+    assert spark.read.format("warc").load(path).count() == 3
+
+
 def test_warc_of_other_tools(spark, tmp_path):
     """Plain records, and gzip members that do not tell their length."""
     warc.register(spark)
