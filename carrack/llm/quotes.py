@@ -19,8 +19,8 @@ of all messages share gives each of them one row, not a pair with every other.
 Cases: a message without a linked quotation is a root; a quotation of the message
 itself or of a later one links nothing; null and empty texts stay as empty messages;
 rows that share conversation and turn are one message for linking, equal ones count
-once, and all stay rows; rows
-without conversation or turn are roots of depth 0.  An empty table gives an empty table.
+once, and all stay rows; rows without conversation or turn are roots of depth 0.  An
+empty table gives an empty table.
 """
 
 from __future__ import annotations
