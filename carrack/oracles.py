@@ -92,6 +92,16 @@ UNION ALL SELECT 'target', c, m FROM wm""",
     "changed_keys": _VERSIONS + "SELECT o_orderkey FROM chg",
     "delete_by_keys": _VERSIONS + "SELECT * FROM kept",
     "sync_dataset": _VERSIONS + "SELECT * FROM kept UNION ALL SELECT * FROM delta",
+    "stream_table": _VERSIONS + "SELECT * FROM kept UNION ALL SELECT * FROM delta",
+    "reconcile": _VERSIONS
+    + """
+SELECT o_orderkey AS key, CASE WHEN t.n IS NULL THEN 'missing' WHEN s.n IS NULL THEN 'extra' ELSE 'changed' END AS status,
+       coalesce(s.n, 0) AS n_source, coalesce(t.n, 0) AS n_target
+FROM (SELECT o_orderkey, count(*) AS n, list((o_custkey, o_orderstatus, cv, mv) ORDER BY o_custkey, o_orderstatus, cv, mv) AS rows
+      FROM src GROUP BY o_orderkey) s
+FULL JOIN (SELECT o_orderkey, count(*) AS n, list((o_custkey, o_orderstatus, cv, mv) ORDER BY o_custkey, o_orderstatus, cv, mv) AS rows
+      FROM tgt GROUP BY o_orderkey) t USING (o_orderkey)
+WHERE s.rows IS DISTINCT FROM t.rows""",
     "sync_summary": _VERSIONS
     + """
 SELECT (SELECT count(*) FROM tgt) - (SELECT count(*) FROM kept) AS deleted,

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators.mapping import find_column, map_by_position
 from ..session import scratch_path
-from ..sinks.routed import ROUTE, route_of, split_value, write_load
+from ..sinks.routed import ROUTE, note_failure, read_reports, route_of, split_value, write_load
 from ..sinks.tables import destination_schema
 from ..sources.statements import Statement, statement_list
 
@@ -168,13 +168,23 @@ def load_routed(
     todo = statement_list(statements)
     if on_error == "report":
         errors: dict[str, str] = {}
-        loads = _side_by_side(
-            spark, todo, lambda s: write_load(spark, routed(s), path, f"{load_id}-{s.package}"), errors
-        )
+
+        def attempt(s: Statement) -> DataFrame:
+            own = f"{load_id}-{s.package}"
+            try:
+                return write_load(spark, routed(s), path, own, lambda written: split_report(written, split, label))
+            except Exception as error:
+                note_failure(spark, path, own, str(error))
+                raise
+
+        loads = _side_by_side(spark, todo, attempt, errors)
         failed = [(f"BCP {label} : {name}", 0, True, split, "", error) for name, error in errors.items()]
         report = spark.createDataFrame(failed, SPLIT_REPORT)
         if loads:
-            report = split_report(reduce(DataFrame.union, loads.values()), split, label).union(report)
+            keys = [ROUTE, *(c for c in SPLIT_REPORT.names if c != "NumRecords")]
+            told = reduce(DataFrame.union, loads.values()).groupBy(*keys).agg(F.sum("NumRecords").alias("NumRecords"))
+            told = told.select(*SPLIT_REPORT.names)
+            report = told.union(report)
         return LoadResult(report, _total(report), time.monotonic() - started)
 
     rows = reduce(DataFrame.union, [routed(s) for s in todo])
@@ -183,16 +193,24 @@ def load_routed(
         if n_splits > max_splits:
             raise ValueError(f"{split} has more than {max_splits} distinct values")
 
-    report = split_report(write_load(spark, rows, path, load_id), split, label)
+    report = write_load(spark, rows, path, load_id, lambda written: split_report(written, split, label)).drop(ROUTE)
     return LoadResult(report, _total(report), time.monotonic() - started)
 
 
+def routed_reports(spark: SparkSession, path: str) -> DataFrame:
+    """The reports of all loads at ``path``, as they were written with the loads.
+
+    A statement that failed under ``on_error="report"`` is a row with its ``error``.
+    """
+    return read_reports(spark, path, SPLIT_REPORT)
+
+
 def _total(report: DataFrame) -> int:
     return report.agg(F.coalesce(F.sum("NumRecords"), F.lit(0)).alias("n")).first()["n"]
 
 
 def split_report(written: DataFrame, split: str, label: str) -> DataFrame:
-    """One row per split value of ``written``; NULL and '' are rows of their own, both shown as ''."""
+    """One row per split value of ``written``, and its route; NULL and '' are rows of their own, both shown as ''."""
     value = split_value(F.col(ROUTE))
     return written.groupBy(ROUTE).agg(F.count(F.lit(1)).alias("NumRecords")).select(
         F.concat(F.lit(f"BCP {label} : {split} = "), value).alias("BCPPackage"),
@@ -201,4 +219,5 @@ def split_report(written: DataFrame, split: str, label: str) -> DataFrame:
         F.lit(split).alias("BCPSplitOnValueOfField"),
         value.alias("BCPSplitOnValue"),
         F.lit("").alias("ProcessingError"),
+        ROUTE,
     )

@@ -17,6 +17,7 @@ from .functions.types import typed_projection
 from .operators import keys, versions
 from .operators.mapping import map_by_position
 from .operators.numbering import number_lines
+from .operators.reconcile import reconcile
 from .plans import load, merge, sync
 from .session import scratch_path
 from .sinks.routed import read_routed
@@ -24,6 +25,7 @@ from .sinks.tables import append_table
 from .sources.shards import list_shards, scan_shards
 from .sources.tables import parquet_table, slice_scan
 from .streaming.replicate import replicate_stream
+from .streaming.versions import replicate_table
 
 RULE = sync.SyncRule("cv", "mv", "o_orderkey", fixtures.SLICE)
 FIELD = ("SourceSystem", r"(?<=sys_src_)\w{4}", ",")
@@ -284,6 +286,23 @@ def stream_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return replica.read()
 
 
+def stream_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The versioned source as a stream of versions into a replica that holds the target, started twice."""
+    source = fixtures.versioned_source(spark, folder)
+    replica = sync.create_replica(spark, scratch_path(spark, "orders"), source, RULE)
+    replica.publish(fixtures.versioned_target(spark, folder))
+    for _ in range(2):
+        checkpoint = scratch_path(spark, "checkpoint-table")
+        replicate_table(spark, lambda: source, replica, RULE, checkpoint, "orders").awaitTermination()
+    return replica.read()
+
+
+def reconciled(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys in which a replica differs from its source, before it is synced."""
+    source, target = fixtures.versioned_source(spark, folder), fixtures.versioned_target(spark, folder)
+    return reconcile(source, target, "o_orderkey")
+
+
 def encrypt_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     key = cipher.derive_key("a password for the test tables", bytes(range(16)))
     sealed = parquet_table(spark, folder, "customer").select(
@@ -354,5 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sync": stream_sync,
     "stream_upsert": stream_upsert,
     "stream_duplicates": stream_duplicates,
+    "stream_table": stream_table,
+    "reconcile": reconciled,
     "scalar_fields": scalar_fields,
 }

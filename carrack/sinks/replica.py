@@ -43,7 +43,7 @@ PAGE_ROWS = 1000
 
 @dataclass(frozen=True)
 class State:
-    """What a pointer says.  ``parts`` has the rows of each live part, ``replaced`` its buckets that later parts hold."""
+    """What a pointer says.  ``parts`` has the live rows of each part, ``replaced`` its buckets that later parts hold."""
 
     version: int
     schema: T.StructType
@@ -160,7 +160,7 @@ class Replica:
             touched = [] if keys is None else self._copy_without(state, keys, copied, parts)
             if touched:
                 replaced |= {part: sorted({*replaced.get(part, []), *touched}) for part in state.parts}
-            parts = {part: n for part, n in parts.items() if n and len(replaced.get(part, [])) < 1 << state.bits}
+            parts = {part: n for part, n in parts.items() if n}
             self._point(
                 replace(
                     state,
@@ -209,6 +209,8 @@ class Replica:
         if touched:
             keys = F.broadcast(keys) if n_bytes <= sizing.BROADCAST_BYTES else keys
             live = self._live(state).where(F.col(BUCKET).isin(touched))
+            for row in live.groupBy(PART).count().collect():  # one row per part, from the footers
+                parts[row[PART]] -= row["count"]
             kept = live.join(keys, F.col(_quoted(state.key)) == F.col("__wanted"), "left_anti")
             parts[part] = self._write(kept, state, part)
         return touched

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import contextlib
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import storage
 from ..operators import sizing
 from ..sinks.replica import Replica
 
@@ -22,6 +26,7 @@ def replicate_stream(
     modified: str | None = None,
     name: str | None = None,
     trigger: dict | None = None,
+    progress: str | None = None,
 ) -> StreamingQuery:
     """Apply every micro-batch to ``replica``.
 
@@ -34,6 +39,9 @@ def replicate_stream(
     The batch number is part of each change, so a batch that Spark runs again after a failure is
     applied once; a full replay with a new checkpoint adds nothing either, because its
     keys are there.
+
+    ``progress`` is a folder for the counts of each batch, for :func:`read_progress` to
+    show while the stream runs.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -41,6 +49,13 @@ def replicate_stream(
         raise ValueError("upsert needs the modified version column")
     position = name or checkpoint.rstrip("/")
 
+    def note(number: int, rows: DataFrame, written: DataFrame, replaced: int) -> None:
+        if progress:
+            counts = {"batch": number, "submitted": rows.count(), "written": written.count(), "replaced": replaced}
+            storage.make_dir(replica.spark, progress)
+            with contextlib.suppress(FileExistsError):  # a batch that runs again
+                storage.write_text(replica.spark, f"{progress}/{number:012d}.json", json.dumps(counts))
+
     def apply(batch: DataFrame, number: int) -> None:
         if replica.state().streams.get(position, -1) >= number:
             return
@@ -51,12 +66,17 @@ def replicate_stream(
                 present = replica.holding(keys, [key]).distinct()  # not more keys than the batch has
                 if sizing.measured_bytes(keys) <= sizing.BROADCAST_BYTES:
                     present = F.broadcast(present)
-                replica.publish(one.join(present, key, "left_anti"), None, (position, number))
+                written = replica.publish(one.join(present, key, "left_anti"), None, (position, number))
+                note(number, batch, written, 0)
             else:
                 there = replica.holding(batch.select(key), batch.columns)
                 newer = newer_rows(batch, there, key, modified)
                 older = newer.where(F.col(REPLACES)).select(key)
-                replica.publish(newer, lambda _: older, (position, number))
+                before = sum(replica.state().parts.values())
+                written = replica.publish(newer, lambda _: older, (position, number))
+                if progress:
+                    added = written.count()
+                    note(number, batch, written, before + added - sum(replica.state().parts.values()))
             replica.tidy()
         finally:
             batch.unpersist()
@@ -65,6 +85,14 @@ def replicate_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def read_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """``batch, submitted, written, replaced``: the counts of the batches that a stream has applied so far."""
+    schema = "batch long, submitted long, written long, replaced long"
+    if not storage.is_dir(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(folder)
+
+
 def _order(columns: list[str], key: str, modified: str | None) -> Column:
     """A total order of the rows of a key; a missing version is before all others."""
     rest = [c for c in columns if c not in (key, modified)]

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carrack import storage
 from carrack.functions import cipher
 from carrack.operators.mapping import find_column, map_by_position
-from carrack.plans.load import load_routed, load_statements, union_statements
+from carrack.plans.load import load_routed, load_statements, routed_reports, union_statements
 from carrack.sinks.routed import read_routed
 from carrack.sinks.tables import append_table
 from carrack.sources.statements import split_statements, statement_list
@@ -175,3 +176,33 @@ def test_cipher_by_a_published_vector(spark):
     assert sealed[0]["text"] == "text" and tuple(sealed[1]) == (None, None)
     with pytest.raises(ValueError):
         cipher.encrypt(F.col("text"), key, b"short")
+
+
+def test_reports_outlive_the_driver(spark, tmp_path, monkeypatch):
+    """The report is there as soon as the rows are, and a failed statement leaves one too."""
+    spark.range(30).selectExpr("id", "CASE id % 3 WHEN 0 THEN 'a' WHEN 1 THEN '' END AS s").createOrReplaceTempView("reported")
+    schema, path = T.StructType().add("id", "long"), str(tmp_path / "routed")
+    shown = storage.rename
+
+    def ended(*args):
+        shown(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(storage, "rename", ended)
+    with pytest.raises(KeyboardInterrupt):
+        load_routed(spark, "SELECT id, s FROM reported", schema, path, "s", load_id="first", label="t")
+    monkeypatch.setattr(storage, "rename", shown)
+    got = routed_reports(spark, path).collect()
+    assert sorted((r["load_id"], r["BCPPackage"], r["NumRecords"], r["error"]) for r in got) == [
+        ("first", "BCP t : s = ", 10, None), ("first", "BCP t : s = ", 10, None), ("first", "BCP t : s = a", 10, None)
+    ]
+    assert read_routed(spark, path, schema).count() == 30
+    statements = "SELECT id, s FROM reported; SELECT id, nothing FROM reported; SELECT raise_error('bad row') AS id, s FROM reported"
+    result = load_routed(spark, statements, schema, path, "s", load_id="second", label="t", on_error="report")
+    assert result.n_records == 30 and result.report.where("HasError").count() == 2
+    got = routed_reports(spark, path).where("load_id LIKE 'second%'").collect()
+    assert sum(r["NumRecords"] or 0 for r in got) == 30
+    failed = sorted((r["load_id"], r["error"]) for r in got if r["error"])
+    assert [name for name, _ in failed] == ["second-BCP_02", "second-BCP_03"] and "bad row" in failed[1][1]
+    assert read_routed(spark, path, schema).count() == 60
+    assert routed_reports(spark, str(tmp_path / "none")).count() == 0

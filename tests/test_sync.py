@@ -13,7 +13,9 @@ from carrack.operators.versions import Watermark, changed_keys, delta_rows, wate
 from carrack.plans.sync import SyncRule, create_replica, replica_mark, sync_dataset, sync_replica, sync_summary, target_mark
 from carrack.session import scratch_path
 from carrack.sinks import replica as replicas
-from carrack.streaming.replicate import replicate_stream
+from carrack.operators import reconcile as reconciling
+from carrack.streaming.replicate import read_progress, replicate_stream
+from carrack.streaming.versions import replicate_table, rows_between
 
 COLUMNS = "k BIGINT, v STRING, cv BIGINT, mv BIGINT"
 RULE = SyncRule("cv", "mv", "k")
@@ -335,6 +337,7 @@ def test_only_touched_buckets_are_copied(spark, monkeypatch):
     assert 24 < len(folders(first)) <= 32
     sync_replica(replica, frame(spark, (3, "new", 1, 2), (5, "new", 1, 2), (9000, "x", 2, 2)), RULE)
     state = replica.state()
+    assert sum(state.parts.values()) == replica.read().count() == 1603
     assert len(state.replaced[first]) <= 2 and sum(len(folders(p)) for p in state.parts if p != first) <= 5
     expected = [r for r in rows(source) if r[0] not in (3, 5)] + [(3, "new", 1, 2), (5, "new", 1, 2), (9000, "x", 2, 2)]
     assert rows(replica.read()) == sorted(expected, key=repr)
@@ -439,6 +442,19 @@ def test_stream_inserts_missing_rows_once(spark):
     assert replica.read().count() == 25
 
 
+@pytest.mark.parametrize("mode", ["insert_missing", "upsert"])
+def test_progress_of_a_stream(spark, mode):
+    batches = [frame(spark, (1, "a", 1, 1), (2, "b", 1, 1), (2, "b", 1, 1)), frame(spark, (2, "c", 1, 2), (3, "d", 1, 1))]
+    replica = create_replica(spark, scratch_path(spark, "test"), batches[0], RULE)
+    stream = spark.readStream.schema(COLUMNS).option("maxFilesPerTrigger", 1).parquet(stream_files(spark, batches))
+    folder = scratch_path(spark, "progress")
+    assert rows(read_progress(spark, folder)) == []
+    replicate_stream(stream, replica, "k", scratch_path(spark, "cp"), mode, "mv", progress=folder).awaitTermination()
+    second = (1, 2, 1, 0) if mode == "insert_missing" else (1, 2, 2, 1)
+    assert rows(read_progress(spark, folder)) == [(0, 3, 2, 0), second]
+    assert replica.read().count() == 3
+
+
 def test_the_same_batch_number_is_applied_once(spark):
     replica = create_replica(spark, scratch_path(spark, "test"), frame(spark), RULE)
     null_key = frame(spark, (None, "n", 1, 1))
@@ -512,3 +528,77 @@ def test_a_stream_gives_one_table_however_it_is_cut(spark, files, backwards):
     stream = spark.readStream.schema(frame(spark).schema).option("maxFilesPerTrigger", files).parquet(source)
     replicate_stream(stream, replica, "k", scratch_path(spark, "checkpoint"), "upsert", "mv").awaitTermination()
     assert rows(replica.read()) == sorted((row for _, row in expected.values()), key=repr)
+
+
+def test_a_versioned_table_is_followed(spark):
+    rule = SyncRule("cv", "mv", "k", "v <> 'x'")
+    tables = [
+        frame(spark, (1, "a", 1, 1), (2, "x", 9, 9), (3, "c", 1, None)),
+        frame(spark, (1, "a2", 1, 2), (2, "x", 9, 9), (3, "c", 1, None), (4, "d", 2, 1)),
+        frame(spark, (1, "a2", 1, 2), (4, "d2", 2, 5), (5, "e", 3, None)),
+    ]
+    now = [0]
+    replica = create_replica(spark, scratch_path(spark, "test"), tables[0], rule)
+
+    def run(checkpoint):
+        replicate_table(spark, lambda: tables[now[0]], replica, rule, checkpoint, "t").awaitTermination()
+
+    checkpoint = scratch_path(spark, "cp")
+    run(checkpoint)
+    assert rows(replica.read()) == [(1, "a", 1, 1), (3, "c", 1, None)]
+    version = replica.state().version
+    run(scratch_path(spark, "cp"))  # a new checkpoint repeats nothing
+    assert replica.state().version == version and replica.state().marks["table t"] == [1, 1]
+    now[0] = 1
+    run(checkpoint)
+    assert rows(replica.read()) == [(1, "a2", 1, 2), (3, "c", 1, None), (4, "d", 2, 1)]
+    now[0] = 2
+    run(checkpoint)
+    assert rows(replica.read()) == [(1, "a2", 1, 2), (3, "c", 1, None), (4, "d2", 2, 5), (5, "e", 3, None)]
+    assert replica.state().marks["table t"] == [3, 5]
+
+
+def test_every_row_is_in_one_step(spark):
+    source = frame(spark, *[(k, "v", k % 7 if k % 5 else None, k % 4 if k % 3 else None) for k in range(60)])
+    marks = [Watermark(-1, -1), Watermark(2, 1), Watermark(2, 3), Watermark(6, 3)]
+    steps = [row for low, high in zip(marks, marks[1:]) for row in rows(rows_between(source, low, high, RULE))]
+    assert sorted(steps, key=repr) == rows(source.where("cv IS NOT NULL OR mv IS NOT NULL"))
+
+
+@pytest.mark.parametrize("bits, small", [(10, 64), (2, 3)])
+def test_reconcile(spark, monkeypatch, bits, small):
+    monkeypatch.setattr(reconciling, "ROUND_BITS", bits)
+    monkeypatch.setattr(reconciling, "SMALL_RANGE", small)
+    same = [(k, f"v{k}", k, None) for k in range(300)]
+    source = frame(spark, *same, (1000, "new", 1, 1), (1001, "old", 1, 1), (1002, None, 1, 1), (7, "v7", 7, None), (None, "n", 1, 1), (None, "n", 1, 1))
+    target = frame(spark, *same, (1001, "changed", 1, 1), (1002, "", 1, 1), (2000, "gone", 1, 1), (None, "n", 1, 1), (1003, "x", None, 5))
+    expected = [(7, "changed", 2, 1), (1000, "missing", 1, 0), (1001, "changed", 1, 1), (1002, "changed", 1, 1), (2000, "extra", 0, 1), (1003, "extra", 0, 1), (None, "changed", 2, 1)]
+    assert rows(reconciling.reconcile(source, target, "k")) == sorted(expected, key=repr)
+    assert rows(reconciling.reconcile(source, source, "k")) == []
+    assert reconciling.reconcile(source, target.limit(0), "k").where("status = 'missing'").count() == 304
+    # Columns that are missing in other places give other rows.
+    a, b = frame(spark, (1, "a", None, 5)), frame(spark, (1, "a", 5, None))
+    assert rows(reconciling.reconcile(a, b, "k")) == [(1, "changed", 1, 1)]
+
+
+def test_reconcile_shuffles_what_differs(spark):
+    source = spark.range(400_000).select(F.col("id").alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    target = source.where("k <> 77").withColumn("v", F.when(F.col("k") % 100_000 == 5, "other").otherwise(F.col("v")))
+    found = reconciling.reconcile(source, target, "k")
+    assert rows(found) == sorted([(77, "missing", 1, 0), *((n * 100_000 + 5, "changed", 1, 1) for n in range(4))], key=repr)
+    records = shuffled_records(spark, found)
+    assert 0 < records < 200, records
+
+
+def shuffled_records(spark, df):
+    context = spark.sparkContext._jsc.sc()
+    doubles = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+
+    def stages():
+        found = context.statusStore().stageList(None, False, False, doubles, spark._jvm.java.util.ArrayList())
+        return {found.apply(n).stageId(): found.apply(n).shuffleWriteRecords() for n in range(found.size())}
+
+    before = stages()
+    df.select("*").collect()  # a plan of its own, whose stages run anew
+    context.listenerBus().waitUntilEmpty(10_000)
+    return sum(n for stage, n in stages().items() if stage not in before)
