@@ -52,7 +52,7 @@ NOISE = 0.25
 KEPT_BYTES = 48 << 20
 ENTRY_BYTES = 180
 #: Characters of new words that are looked up at a time, but for one longer word.
-LEARNT_CHARS = 400_000
+LEARNT_CHARS = 150_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 

@@ -18,7 +18,7 @@ from ..session import scratch_path
 BLANKS = b" \t\n\x0b\x0c\r"
 
 #: Text bytes that a Python worker holds at a time, beside one longer document.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
