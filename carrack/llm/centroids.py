@@ -198,12 +198,14 @@ def _written_file(vectors: DataFrame, grid: Cells, first: np.ndarray) -> DataFra
 def _moved_sums(file: DataFrame, grid: Cells, old: np.ndarray | None, new: np.ndarray) -> list[list[int]]:
     """What moves from cluster to cluster as centroids change: per cluster sums by dimension, and a count."""
     clusters, length = new.shape
-    before, after = None if old is None else grid.tables(old), grid.tables(new)
+    made: list[Tables] = []  # by the workers: the tables are large beside the centroids
 
     def moves(cells: pa.Array) -> np.ndarray:
         """Rows whose cells do not show that they stay where they are."""
+        if not made:
+            made.extend(grid.tables(c) for c in (old, new))
         cell = grid.unpack(cells.to_pylist())
-        was, now = before.decided(cell), after.decided(cell)
+        was, now = (tables.decided(cell) for tables in made)
         return (was < 0) | (was != now)
 
     def wanted(batch: pa.RecordBatch) -> Iterator[dict]:
