@@ -278,7 +278,8 @@ class Replica:
         hashed = F.when(F.col(_quoted(state.key)).isNotNull(), F.xxhash64(_quoted(state.key))).otherwise(every) if state.key else every
         rows = rows.select(*columns).withColumn(HASH, hashed)
         rows = rows.withColumn(BUCKET, _bucket(F.col(HASH), state.bits))
-        folders = [BUCKET, *state.partition_by]
+        # A single bucket is no key to deal rows by: that would be one task.
+        folders = [*([BUCKET] if state.bits else []), *state.partition_by]
         rows = rows.hint("rebalance", *[F.col(_quoted(n)) for n in folders])
         renamed = [stored_name(n, state.schema, state.partition_by) for n in state.partition_by]
         rows = rows.select(*coded(state.schema, state.partition_by), HASH, BUCKET)
