@@ -17,9 +17,14 @@ packed each for itself; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
+import sys
 import zlib
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +35,50 @@ from pyspark.sql import types as T
 
 from .tables import documents, map_batches, ship_package, texts, written
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 SEQUENCE = 2048
 OPEN_BINS = 4096
 PIECES_PER_BATCH = 10_000
 BATCHES_PER_PART = 25
 #: Bytes of words with their ids that a Python worker remembers, about, in each of two generations.
 KEPT_BYTES = 64 << 20
-#: What an entry takes beside its word and ids.
-ENTRY_BYTES = 180
+#: What an entry takes beside its word, an object of its own, and ids.
+ENTRY_BYTES = 130
+#: Tokenizers of this kind lower-case, and then cut between letters, digits and other characters.
+PARTED = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: Letters of Latin-1: normalizing leaves their class as it is, and cases go one to one.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(f"[{_LETTERS}]+").fullmatch
+#: Parts that end where a token ends: letters or digits before ASCII, ASCII marks before
+#: a letter, digit or blank (an apostrophe may belong to its letter), or the rest of a word.
+_PARTS = re.compile(
+    f"[{_LETTERS}]++(?![^\\0-\x7f])|(?!'[{_LETTERS}])[!-/:-@\\[-`{{-~]++(?=[0-9{_LETTERS} \t-\r]|\\Z)"
+    "|[0-9]++(?![^\\0-\x7f])|[^ \t-\r]++"
+).findall
+_WORDS = re.compile("[^ \t-\r]+").findall
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -45,33 +86,67 @@ class WordEncoder:
     """Token ids of whole texts, word by word.
 
     For tokenizers whose tokens never span ASCII white space, which is then dropped:
-    the ids of a text are those of its words, and words repeat.
+    the ids of a text are those of its words, and words repeat.  With a tokenizer that
+    is ``PARTED`` words are parts without the marks beside them, and repeat more often.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        added = told.get("added_tokens") or []
+        #: Tokens that are found before anything else.
+        self.added = [t["content"] for t in added]
+        self.parted = all(told.get(k) == v for k, v in PARTED.items())
+        self.parted &= not any(t["normalized"] or _PLAIN(t["content"]) for t in added)
+        #: The same model, for letters in lower case.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         #: Ids of words, of this generation and of the one before.
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
+    def words(self, text: bytes) -> list[str]:
+        """What the ids of a text are put together from."""
+        if not self.parted:
+            return _WORDS(text.decode("utf-8", "replace"))
+        given = lower = text.decode("utf-8", "replace")
+        try:
+            given.encode("latin-1")
+            lower = given.lower()
+        except UnicodeEncodeError:  # a capital may not compose as its small letter does
+            pass
+        if any(a in given or a in lower for a in self.added):
+            return _WORDS(given)
+        return _PARTS(lower)
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in texts]
+        split = [self.words(t) for t in texts]
         if self.held > KEPT_BYTES:  # words that are met again move to the new generation
             self.older, self.known, self.held = self.known, {}, 0
         met = set().union(*split) - self.known.keys()
         again = met & self.older.keys()
-        self.known.update((w, self.older[w]) for w in again)
-        new = list(met - again)
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
-        known = self.known
-        self.held += sum(ENTRY_BYTES + len(w) + len(known[w]) for w in met)
-        return [b"".join([known[w] for w in words]) for words in split]
+        self._know({w: self.older[w] for w in again})
+        new = met - again
+        plain = [w for w in new if self.parted and _PLAIN(w)]
+        other = list(new.difference(plain))
+        self._know(self._encoded(self.bare, plain, [w.lower() for w in plain]))
+        self._know(self._encoded(self.tokenizer, other, other))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+    def _encoded(self, tokenizer: Tokenizer, words: list[str], texts: list[str]) -> dict[str, bytes]:
+        found = (e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        return {w: struct.pack(f"<{len(n)}I", *n) for w, n in zip(words, found)}
+
+    def _know(self, found: dict[str, bytes]) -> None:
+        self.known.update(found)
+        self.held += ENTRY_BYTES * len(found) + sum(map(sys.getsizeof, found)) + sum(map(len, found.values()))
 
 
 def encoder(path: str) -> WordEncoder:

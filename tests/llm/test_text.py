@@ -303,3 +303,21 @@ def test_syncmers_of_text_without_blanks(spark):
 def test_a_full_piece_closes_no_open_bin():
     bins = packing.OpenBins(10, 1)
     assert [bins.place(n) for n in (6, 10, 4)] == [(0, 0), (1, 0), (0, 6)]
+
+
+def test_words_are_encoded_in_parts():
+    """Marks and capitals make no new words, and the ids stay those of the library."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), packing.WordEncoder(path)
+    words = ["stone", "\u00e9cole", "h\u00f6her", "water"]
+    texts = [f"{a}{w}{z} {w.title()}{z}" for w in words for a in ("", "(", '"', "-") for z in ("", ".", ",", ").", "!'")]
+    odd = ["'s", "'", "s", "S", "LL", "\u00c9", "\u0130", "H\u0331", "\u0301", ".", "(", "1", "\u00b2", "\u00a0", "\u2026", "\u0915\u093c"]
+    odd += ["<|startoftext|>", "<|STARTOFTEXT|>", "\x1c", "\x00", "\u4e2d", "\U0001f600", "\ufffd", " ", "\n", "e"]
+    rng = np.random.default_rng(6)
+    found = encoder.ids([t.encode() for t in texts])
+    assert len(encoder.known) <= len(words) + 12
+    texts += ["".join(rng.choice(odd, 8)) for _ in range(4000)]
+    found += encoder.ids([t.encode() for t in texts[len(found) :]])
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
