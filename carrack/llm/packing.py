@@ -96,13 +96,12 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            told = json.load(file)
-        added = told.get("added_tokens") or []
+        added = self.tokenizer.get_added_tokens_decoder().values()
         #: Tokens that are found before anything else.
-        self.added = [t["content"] for t in added]
-        self.parted = all(told.get(k) == v for k, v in PARTED.items())
-        self.parted &= not any(t["normalized"] or _PLAIN(t["content"]) for t in added)
+        self.added = [t.content for t in added]
+        steps = {k: getattr(self.tokenizer, k) for k in PARTED}
+        self.parted = all(steps[k] and json.loads(steps[k].__getstate__()) == v for k, v in PARTED.items())
+        self.parted &= not any(t.normalized or _PLAIN(t.content) for t in added)
         #: The same model, for letters in lower case.
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
