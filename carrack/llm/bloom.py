@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .tables import ship_package, slices
+from .tables import forget, release, ship_package, slices
 
 LOG2_BITS = 26
 LOG2_SEGMENT = 21
@@ -63,6 +63,7 @@ def twice_seen(
         }
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         share, held, size, maps = 0, [], 0, None
         for batch in batches:
             for part in slices(batch):
@@ -79,6 +80,7 @@ def twice_seen(
                             maps[1][bits[maps[0][bits]]] = True
                             maps[0][bits] = True
                         held, size = [], 0
+            release()
         if maps is None and not held:
             return
         if maps is None:

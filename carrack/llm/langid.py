@@ -24,6 +24,7 @@ that repeat are predicted alike; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import documents, extend_batches, map_batches, texts
+from .tables import documents, extend_batches, map_batches, remember, texts
 
 UNKNOWN = "und"
 SAMPLE = 4096
@@ -250,25 +251,20 @@ class _Scorer:
         return found, score, none | (score < self.model.threshold) | (p.max(1) > score)
 
 
-_scorers: dict[int, _Scorer] = {}
-
-
 def identified(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``docs`` with ``lang_pred, score, rejected``, which replace columns so named; only the text is read for them."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = f"scorer-{uuid.uuid4().hex}"
 
     def work(batch: pa.RecordBatch) -> dict:
         if shared.value is None:
             found = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
         else:
-            key = id(shared.value)
-            if key not in _scorers:
-                _scorers.clear()
-                _scorers[key] = _Scorer(shared.value)
-            found = _scorers[key].predict([t.decode("utf-8", "replace") for t in texts(batch)])
+            scorer = remember(key, lambda: _Scorer(shared.value))
+            found = scorer.predict([t.decode("utf-8", "replace") for t in texts(batch)])
         return dict(zip(("lang_pred", "score", "rejected"), found))
 
-    return extend_batches(docs, work, "lang_pred string, score double, rejected boolean")
+    return extend_batches(docs, work, "lang_pred string, score double, rejected boolean", keeps=key)
 
 
 def held_out(doc_id: Column) -> Column:

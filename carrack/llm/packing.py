@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import documents, map_batches, ship_package, texts, written
+from .tables import documents, forget, map_batches, remember, ship_package, texts, written
 
 if TYPE_CHECKING:
     from tokenizers import Tokenizer
@@ -79,7 +79,6 @@ _PARTS = re.compile(
     "|[0-9]++(?![^\\0-\x7f])|[^ \t-\r]++"
 ).findall
 _WORDS = re.compile("[^ \t-\r]+").findall
-_encoders: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
@@ -150,9 +149,7 @@ class WordEncoder:
 
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder for a vocabulary file, loaded once."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return remember(path, lambda: WordEncoder(path))
 
 
 def token_pieces(
@@ -182,7 +179,7 @@ def token_pieces(
 
     schema = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    return map_batches(numbered, work, schema + ", ids array<long>" * keep_ids)
+    return map_batches(numbered, work, schema + ", ids array<long>" * keep_ids, vocabulary)
 
 
 class OpenBins:
@@ -227,6 +224,7 @@ def packed(pieces: DataFrame, capacity: int = SEQUENCE, open_bins: int = OPEN_BI
     order = ["__batch", F.desc("length"), "doc_id", "row", "piece"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         bins, base = OpenBins(capacity, open_bins), TaskContext.get().partitionId() << 40
         for batch in batches:
             placed = [bins.place(n) for n in batch.column("length").to_pylist()]

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import documents, map_batches, texts
+from .tables import documents, map_batches, remember, texts
 
 MARK = "▁"
 #: Bytes of words with their ids that a Python worker remembers, about, in each of two generations.
@@ -39,7 +39,6 @@ ENTRY_BYTES = 300
 FLAT_SYMBOLS = 1 << 20
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _NONE = np.iinfo(np.int64).max
-_models: dict[str, PieceModel] = {}
 
 
 class PieceModel:
@@ -267,12 +266,14 @@ def _one_by_one(error: UnicodeError) -> tuple[str, int]:
 
 def model(path: str) -> PieceModel:
     """The worker's model for a file, loaded once."""
-    if path not in _models:
+
+    def load() -> PieceModel:
         import codecs
 
         codecs.register_error("one_by_one", _one_by_one)
-        _models[path] = PieceModel(path)
-    return _models[path]
+        return PieceModel(path)
+
+    return remember(path, load)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
@@ -282,7 +283,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         ids = model(path).encode([t.decode("utf-8", "replace") for t in texts(batch)])
         yield {"doc_id": batch.column("doc_id"), "ids": [x.astype(np.int32) for x in ids]}
 
-    return map_batches(docs.select("doc_id", "text"), work, "doc_id long, ids array<int>")
+    return map_batches(docs.select("doc_id", "text"), work, "doc_id long, ids array<int>", path)
 
 
 def decoded(tokens: DataFrame, path: str) -> DataFrame:
@@ -292,7 +293,7 @@ def decoded(tokens: DataFrame, path: str) -> DataFrame:
         lists = [np.array(x or [], np.int64) for x in batch.column("ids").to_pylist()]
         yield {"doc_id": batch.column("doc_id"), "text": [model(path).decode(x) for x in lists]}
 
-    return map_batches(tokens.select("doc_id", "ids"), work, "doc_id long, text string")
+    return map_batches(tokens.select("doc_id", "ids"), work, "doc_id long, text string", path)
 
 
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
@@ -309,4 +310,4 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         yield out | {"doc_id": batch.column("doc_id")}
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(documents(spark, folder), work, schema)
+    return map_batches(documents(spark, folder), work, schema, path)
