@@ -99,6 +99,49 @@ def test_simhash_links_in_tiles(spark, monkeypatch):
     assert len(found) >= len(bits)
 
 
+@pytest.mark.parametrize("halves, n_keys", [(1, 10), (2, 25), (3, 70), (4, 210)])
+def test_simhash_keys_of_each_width_lose_no_link(spark, monkeypatch, halves, n_keys):
+    keys, chains = simhash.key_masks(halves), simhash._chain_masks()
+    assert len(set(keys)) == n_keys and all(m.bit_count() >= 12 + 6 * halves for _, m in keys)
+    rng = np.random.default_rng(8)
+    for _ in range(2000):  # bits that lie close together are the hard case
+        at = rng.integers(64) + rng.integers(rng.choice([6, 14, 30, 64]), size=4)
+        apart = sum(1 << b for b in {int(x) % 64 for x in at})
+        own = [s for s, m in keys if not apart & m]
+        assert any(all((apart & int(chains[s, n])).bit_count() <= 4 * (n + 1) // 5 for n in range(5)) for s in own)
+    monkeypatch.setattr(simhash, "WIDER", (0,) * (halves - 1) + (1 << 30,) * (4 - halves))
+    values = [int(x) for x in rng.integers(1 << 62, size=150)]
+    values += [v ^ sum(1 << int(b) for b in set(rng.integers(62, size=rng.integers(1, 7)))) for v in values]
+    rows = [(k % 2, v) for k, v in enumerate(sorted(set(values)))]
+    nodes = spark.createDataFrame(rows, "number long, bits long")
+    found = simhash.links(nodes)
+    assert found.dtypes == [("number", "bigint"), ("a", "bigint"), ("b", "bigint")]
+    found = {(r["number"], *sorted((r["a"], r["b"]))) for r in found.collect()}
+    for number in (0, 1):
+        mine = [v for k, v in rows if k == number]
+        at = brute.components(len(mine), lambda a, b: (mine[a] ^ mine[b]).bit_count() <= 4)
+        got = brute.components(len(mine), lambda a, b: (number, *sorted((mine[a], mine[b]))) in found)
+        assert got == at and len(set(at)) < len(mine)
+    assert all((a ^ b).bit_count() <= 4 for _, a, b in found)
+
+
+def test_simhash_keys_of_many_strangers_are_wider(spark, monkeypatch):
+    """Fingerprints that only meet by chance: five times as many must not make 25 times the work."""
+    real, rng, met = simhash.linked_in_groups, np.random.default_rng(3), []
+    for n in (6_000, 30_000):
+        counted = spark.sparkContext.accumulator(0)
+
+        def counting(group, start, bits, counted=counted):
+            counted.add(len(bits))
+            return real(group, start, bits)
+
+        monkeypatch.setattr(simhash, "linked_in_groups", counting)
+        nodes = spark.createDataFrame([(int(x),) for x in rng.integers(1 << 62, size=n)], "bits long").distinct()
+        simhash.links(nodes).collect()
+        met.append(counted.value)
+    assert 0 < met[1] <= 5 * met[0]
+
+
 def test_one_of_near_duplicates_stays(spark, docs, rows):
     kept = simhash.without_near_duplicates(docs)
     assert kept.columns == docs.columns
