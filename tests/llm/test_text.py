@@ -126,9 +126,9 @@ def test_simhash_keys_of_each_width_lose_no_link(spark, monkeypatch, halves, n_k
 
 
 def test_simhash_keys_of_many_strangers_are_wider(spark, monkeypatch):
-    """Fingerprints that only meet by chance: five times as many must not make 25 times the work."""
-    real, rng, met = simhash.linked_in_groups, np.random.default_rng(3), []
-    for n in (6_000, 30_000):
+    """Fingerprints that only meet by chance are hardly ever looked at in buckets, be they few or many."""
+    real, rng = simhash.linked_in_groups, np.random.default_rng(3)
+    for n in (6_000, 60_000):
         counted = spark.sparkContext.accumulator(0)
 
         def counting(group, start, bits, counted=counted):
@@ -137,9 +137,8 @@ def test_simhash_keys_of_many_strangers_are_wider(spark, monkeypatch):
 
         monkeypatch.setattr(simhash, "linked_in_groups", counting)
         nodes = spark.createDataFrame([(int(x),) for x in rng.integers(1 << 62, size=n)], "bits long").distinct()
-        simhash.links(nodes).collect()
-        met.append(counted.value)
-    assert 0 < met[1] <= 5 * met[0]
+        assert simhash.links(nodes.repartition(4)).collect() == []
+        assert counted.value <= n // 50
 
 
 def test_one_of_near_duplicates_stays(spark, docs, rows):
